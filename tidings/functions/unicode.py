@@ -6,6 +6,7 @@ character is a fixed property of Unicode, so it becomes a ``translate`` table.
 
 from __future__ import annotations
 
+import string
 import unicodedata
 from functools import lru_cache
 
@@ -98,35 +99,50 @@ def _ranges(blocks: tuple[tuple[int, int], ...]) -> str:
 
 
 ISOLATED = _ranges(ASCII_PUNCTUATION) + r"\p{P}" + _ranges(CJK_BLOCKS)
-SPACES = r" \p{Zs}\x{2028}\x{2029}"
-REMOVED_PATTERN = r"[\x{FFFD}\p{Cc}\p{Cf}]"
-TOKEN_PATTERN = f"[{ISOLATED}]|[^{ISOLATED}{SPACES}]+"
+SPACES = r" \n\r\t\p{Zs}\x{2028}\x{2029}"
+CONTROLS = r"\x{FFFD}\p{Cc}\p{Cf}"
+# As in cleaning, a look-up class of the common characters stands before the classes of ranges.
+_COMMON = string.ascii_letters + string.digits
+REMOVED_PATTERN = rf"[[^{_COMMON} \n\r\t]&&[{CONTROLS}]]"
 
 
-def _line_breaks_to_spaces(text: Column) -> Column:
-    return F.translate(text, "\n\r\t", "   ")
+def _token_pattern(isolated: str) -> str:
+    return f"[[^{_COMMON} ]&&[{isolated}]]|(?:[{_COMMON}]|[[^ ]&&[^{isolated}{SPACES}]])+"
 
 
 def without_controls(text: Column) -> Column:
-    """Drop control and format characters, so that their neighbours join."""
+    """Drop control and format characters but line breaks and tabs; their neighbours join."""
     return F.regexp_replace(text, REMOVED_PATTERN, "")
 
 
 def pretokens(text: Column, cased: bool = False) -> Column:
     """Words of the normalised text, each punctuation or CJK character a word of its own."""
-    spaced = _line_breaks_to_spaces(normalise(text, cased))
-    return F.regexp_extract_all(without_controls(spaced), F.lit(TOKEN_PATTERN), F.lit(0))
+    shown = without_controls(normalise(text, cased))
+    return F.regexp_extract_all(shown, F.lit(_token_pattern(ISOLATED)), F.lit(0))
+
+
+def _isolated(cased: bool) -> str:
+    """Characters that only become punctuation by normalisation count as such in raw text."""
+    return ISOLATED + ("" if cased else _tables()[3])
+
+
+def raw_words(text: Column, cased: bool = False) -> Column:
+    """The words of ``pretokens`` before normalisation, so that it can run once per word."""
+    return F.regexp_extract_all(text, F.lit(_token_pattern(_isolated(cased))), F.lit(0))
+
+
+def normal_word(raw: Column, cased: bool = False) -> Column:
+    """Normal form of a raw word; empty when nothing but marks and controls was in it."""
+    return without_controls(normalise(raw, cased))
 
 
 def raw_chunks(text: Column, cased: bool = False) -> Column:
-    """The text cut into leading spaces plus one word, without changing any character.
+    """The text cut into leading spaces plus one raw word, without changing any character.
 
     The chunks lie end to end from the start of the text, so their lengths give offsets.
-    Characters that only become punctuation by normalisation count as such here.
     """
-    isolated = ISOLATED + ("" if cased else _tables()[3])
-    pattern = f"[{SPACES}]*(?:[{isolated}]|[^{isolated}{SPACES}]+)"
-    return F.regexp_extract_all(_line_breaks_to_spaces(text), F.lit(pattern), F.lit(0))
+    pattern = f"[{SPACES}]*(?:{_token_pattern(_isolated(cased))})"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def chunk_word(chunk: Column) -> Column:

@@ -43,29 +43,30 @@ def prepare(vocab: DataFrame) -> Vocabulary:
     return Vocabulary(table, special.get(CLS, unk), special.get(SEP, unk), unk, longest)
 
 
-def split_words(words: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """``(word, pieces)`` for distinct words: the longest vocabulary prefix at each step.
+def split_words(words: DataFrame, vocab: Vocabulary, cased: bool = False) -> DataFrame:
+    """``(raw, pieces)`` for distinct raw words: the longest vocabulary prefix at each step.
 
-    Every start of a word meets the vocabulary with every length up to the longest token, so
-    the work per word is linear in its length and no word is too long. A character that no
-    token matches is a piece of its own with the unknown id. All steps after ``distinct`` keep
-    its partitioning by word.
+    Words are normalised here, once each. Every start of a word meets the vocabulary with every
+    length up to the longest token, so the work is linear in the word's length and no word is
+    too long. A character that no token matches is a piece of its own with the unknown id. All
+    steps after ``distinct`` keep its partitioning by word.
     """
-    starts = words.select("word").distinct().select(
-        "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start")
+    normal = words.select("raw").distinct().withColumn("word", unicode.normal_word(F.col("raw"), cased))
+    starts = normal.filter(F.col("word") != "").select(
+        "raw", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start")
     )
     room = F.least(F.lit(max(vocab.longest, 1)), F.length("word") - F.col("start"))
-    tries = starts.select("word", "start", F.explode(F.sequence(F.lit(1), room)).alias("len"))
+    tries = starts.select("raw", "word", "start", F.explode(F.sequence(F.lit(1), room)).alias("len"))
     text = F.substring(F.col("word"), F.col("start") + 1, F.col("len"))
     prefix = F.when(F.col("start") > 0, CONTINUATION).otherwise("")
-    tries = tries.withColumn("token", F.concat(prefix, text))
+    tries = tries.select("raw", "start", "len", F.concat(prefix, text).alias("token"))
     matched = lookup_join(tries, vocab.table, "token")
     longest = (
         matched.filter(F.col("id").isNotNull() | (F.col("len") == 1))
-        .groupBy("word", "start")
+        .groupBy("raw", "start")
         .agg(F.max(F.struct("len", F.col("token").alias("piece"), "id")).alias("best"))
     )
-    steps = longest.groupBy("word").agg(
+    steps = longest.groupBy("raw").agg(
         F.sort_array(F.collect_list(F.struct("start", "best.len", "best.piece", "best.id"))).alias("steps")
     )
 
@@ -86,18 +87,19 @@ def split_words(words: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     begin = F.struct(F.lit(0).alias("next"), F.array().cast(PIECES).alias("pieces"))
     pieces = F.aggregate("steps", begin, walk, lambda state: state.pieces)
-    return steps.select("word", pieces.alias("pieces"))
+    return steps.select("raw", pieces.alias("pieces"))
 
 
-def _with_pieces(tokens: DataFrame, vocab: Vocabulary) -> DataFrame:
-    pieces = cut_lineage(split_words(tokens.filter(F.col("word").isNotNull()), vocab))
-    return lookup_join(tokens, pieces, "word")
+def _with_pieces(tokens: DataFrame, vocab: Vocabulary, cased: bool) -> DataFrame:
+    """Add ``pieces`` to rows with a ``raw`` word; NULL for words without a normal form."""
+    pieces = cut_lineage(split_words(tokens.filter(F.col("raw").isNotNull()), vocab, cased))
+    return lookup_join(tokens, pieces, "raw")
 
 
 def word_tokens(texts: DataFrame, id_cols: Sequence[str], text_col: str, cased: bool = False) -> DataFrame:
-    """``(ids, at, word)``: one row per word, one with NULL for a text without words."""
-    words = unicode.pretokens(F.col(text_col), cased)
-    return texts.select(*id_cols, F.posexplode_outer(words).alias("at", "word"))
+    """``(ids, at, raw)``: one row per word, one with NULL for a text without words."""
+    words = unicode.raw_words(F.col(text_col), cased)
+    return texts.select(*id_cols, F.posexplode_outer(words).alias("at", "raw"))
 
 
 def piece_lists(
@@ -117,10 +119,10 @@ def piece_lists(
         for side, column in enumerate(text_cols)
     ]
     tokens = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
-    spelled = _with_pieces(tokens, vocab)
+    spelled = _with_pieces(tokens, vocab, cased)
     gathered = [
         F.collect_list(
-            F.when((F.col("side") == side) & F.col("word").isNotNull(), F.struct("at", "pieces"))
+            F.when((F.col("side") == side) & F.col("pieces").isNotNull(), F.struct("at", "pieces"))
         ).alias(f"_side{side}")
         for side in range(len(sides))
     ]
@@ -251,19 +253,16 @@ def _ends(lengths: pa.Array) -> pa.Array:
 
 
 def word_spans(texts: DataFrame, id_cols: Sequence[str], text_col: str = "text", cased: bool = False) -> DataFrame:
-    """``(ids, at, raw, word, start, end)``: words with their place in the unchanged text."""
+    """``(ids, at, raw, start)``: raw words with their place in the unchanged text."""
     chunked = texts.select(*id_cols, unicode.raw_chunks(F.col(text_col), cased).alias("_chunks"))
     lengths = F.transform("_chunks", lambda chunk: F.length(chunk))
     placed = chunked.withColumn("_ends", _ends(lengths))
     rows = placed.select(
         *id_cols, F.posexplode(F.arrays_zip("_chunks", "_ends")).alias("at", "_part")
     ).select(
-        *id_cols, "at", unicode.chunk_word(F.col("_part._chunks")).alias("raw"), F.col("_part._ends").alias("end")
+        *id_cols, "at", unicode.chunk_word(F.col("_part._chunks")).alias("raw"), F.col("_part._ends").alias("_end")
     )
-    word = unicode.without_controls(unicode.normalise(F.col("raw"), cased))
-    return rows.select(
-        *id_cols, "at", "raw", word.alias("word"), (F.col("end") - F.length("raw")).alias("start"), "end"
-    ).filter(F.col("word") != "")
+    return rows.select(*id_cols, "at", "raw", (F.col("_end") - F.length("raw")).alias("start"))
 
 
 def token_spans(
@@ -275,7 +274,7 @@ def token_spans(
 ) -> DataFrame:
     """``(ids, at, part, token, start, end)``: word pieces with their place in the text."""
     words = word_spans(texts, id_cols, text_col, cased)
-    pieces = _with_pieces(words, vocab).select(
+    pieces = _with_pieces(words, vocab, cased).select(
         *id_cols, "at", "raw", "start", F.posexplode("pieces").alias("part", "piece")
     )
     raw, first = F.col("raw"), F.col("piece.start")
@@ -283,7 +282,7 @@ def token_spans(
 
     def width(place: Column) -> Column:
         char = F.substring(raw, place + 1, F.lit(1))
-        return F.length(unicode.without_controls(unicode.normalise(char, cased)))
+        return F.length(unicode.normal_word(char, cased))
 
     # Position in the raw word of each character of the normalised one.
     origin = F.flatten(

@@ -18,7 +18,7 @@ from tidings.operators import embed, fetch, gap, kmeans, noise, partition, repor
 from tidings.operators.domains import suffix_rules, with_registered_domain
 from tidings.plans.crawl import crawl
 from tidings.plans.digest import run_digest
-from tidings.session import scratch_path
+from tidings.session import scratch_path, spread
 from tidings.sources import sinks, vocabulary
 from tidings.sources.captures import read_captures
 from tidings.sources.seeds import as_seeds
@@ -33,6 +33,7 @@ MAX_LEN = 64
 PAIR_LEN = 48
 COMMON_WORD = 5
 PERIOD_MINUTES = 15
+PERIOD = "360 minutes"
 DIGEST_LABEL = "01-01-24_00-30-00_GMT+0300"
 
 
@@ -41,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
 def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_captures(spark, f"{sf_dir}/pages.parquet")
+    return spread(read_captures(spark, f"{sf_dir}/pages.parquet").select("url", "html"))
 
 
 def _all_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,7 +421,7 @@ def stream_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("value").alias("total"),
         )
 
-    timeframes.run_available(arrivals, "ts", base, {"summary": summarise})
+    timeframes.run_available(arrivals, "ts", base, {"summary": summarise}, PERIOD)
     return sinks.read_table(spark, base, "summary").select(
         "timeframe", "n", "users", F.round("total", 4).alias("total")
     )

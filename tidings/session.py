@@ -56,3 +56,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder; later plans start from the written blocks."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table with fewer splits than cores; larger tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.text import WHITESPACE_CHARS
 from tidings.operators.numbering import running_count
+from tidings.session import cut_lineage
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -30,8 +31,11 @@ def number_tokens(lines: DataFrame, duplicates: str = "reject") -> DataFrame:
     """
     if duplicates not in ("reject", "reference"):
         raise ValueError("duplicates must be 'reject' or 'reference'")
-    seen = lines.groupBy("token").agg(
-        F.min("line").alias("line"), F.max("line").alias("_last"), F.count(F.lit(1)).alias("_times")
+    # Stored once: the checks and the numbering below read it several times.
+    seen = cut_lineage(
+        lines.groupBy("token").agg(
+            F.min("line").alias("line"), F.max("line").alias("_last"), F.count(F.lit(1)).alias("_times")
+        )
     )
     if duplicates == "reject":
         repeated = seen.filter("_times > 1").select("token").limit(5).collect()

@@ -47,7 +47,7 @@ def stream_writer(
             landing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("timeframe", "batch_id").parquet(landed_path)
         )
-        landed = spark.read.parquet(landed_path)
+        landed = spark.read.schema(landing.schema).parquet(landed_path)
         # Partition columns only: the labels come from the folder names of this batch.
         touched = landed.filter(F.col("batch_id") == batch_id).select("timeframe").distinct()
         again = landed.join(F.broadcast(touched), "timeframe", "left_semi").drop("batch_id")
