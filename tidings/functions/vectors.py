@@ -7,6 +7,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidings.functions.binding import let
+
 
 def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
@@ -14,8 +16,9 @@ def norm(vector: Column) -> Column:
 
 def normalise(vector: Column) -> Column:
     """Scale to length 1; a zero vector has no direction and becomes NULL elements."""
-    length = norm(vector)
-    return F.transform(vector, lambda x: x / F.nullif(length, F.lit(0.0)))
+    return let(
+        F.nullif(norm(vector), F.lit(0.0)), lambda length: F.transform(vector, lambda x: x / length)
+    )
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -36,9 +39,15 @@ def log_or_minus_infinity(x: Column) -> Column:
 
 
 # Element-wise aggregates. The summarizer folds whole vectors in the JVM with map-side partial
-# results, so no row per dimension is ever made.
-def sum_vectors(vector: Column, weight: Column | None = None) -> Column:
-    return vector_to_array(Summarizer.sum(array_to_vector(vector), weight))
+# results, so no row per dimension is ever made. It suits few groups; for many, plain sums of
+# up to SUM_COLUMNS elements aggregate by hash where the summarizer would sort its input.
+SUM_COLUMNS = 100
+
+
+def sum_vectors(vector: Column, dims: int | None = None) -> Column:
+    if dims is not None and dims <= SUM_COLUMNS:
+        return F.array(*[F.sum(F.get(vector, F.lit(i))) for i in range(dims)])
+    return vector_to_array(Summarizer.sum(array_to_vector(vector)))
 
 
 def min_vectors(vector: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions import urls
+from tidings.session import local_table
 
 # Suffixes used when no rule file is given.
 COMMON_SUFFIXES = (
@@ -18,11 +19,16 @@ COMMON_SUFFIXES = (
 )
 
 
+# The Public Suffix List holds about 10^4 rules; up to this many a broadcast stays small.
+BROADCAST_RULES = 200_000
+
+
 class SuffixRules(NamedTuple):
-    """Rules by base name, and the largest number of labels in a base."""
+    """Rules by base name, the most labels in a base, and whether a broadcast is known small."""
 
     table: DataFrame
     depth: int
+    small: bool
 
 
 def _parse(lines: DataFrame) -> DataFrame:
@@ -30,98 +36,94 @@ def _parse(lines: DataFrame) -> DataFrame:
     rules = lines.select(F.lower(line).alias("rule")).filter(
         (F.col("rule") != "") & ~F.startswith("rule", F.lit("//"))
     )
-    return (
-        rules.select(
-            F.regexp_replace("rule", r"^(?:!|\*\.)", "").alias("base"),
-            F.startswith("rule", F.lit("!")).alias("exception"),
-            F.startswith("rule", F.lit("*.")).alias("wildcard"),
-        )
-        .groupBy("base")
-        .agg(
-            F.max(~F.col("exception") & ~F.col("wildcard")).alias("plain"),
-            F.max("wildcard").alias("wildcard"),
-            F.max("exception").alias("exception"),
-        )
+    based = rules.select(
+        F.regexp_replace("rule", r"^(?:!|\*\.)", "").alias("base"),
+        F.startswith("rule", F.lit("!")).alias("exception"),
+        F.startswith("rule", F.lit("*.")).alias("wildcard"),
+    )
+    flags = based.groupBy("base").agg(
+        F.max(~F.col("exception") & ~F.col("wildcard")).alias("plain"),
+        F.max("wildcard").alias("wildcard"),
+        F.max("exception").alias("exception"),
     )
+    return flags.withColumn("labels", F.size(F.split("base", r"\.")))
 
 
 def suffix_rules(spark: SparkSession, suffixes: Iterable[str] = COMMON_SUFFIXES) -> SuffixRules:
     """Rules from names such as ``co.uk``, ``*.ck`` and ``!www.ck``."""
     names = list(suffixes)
-    lines = spark.createDataFrame([(name,) for name in names], "value string")
-    depth = max((name.removeprefix("!").removeprefix("*.").count(".") + 1 for name in names), default=0)
-    return SuffixRules(_parse(lines), depth)
+    bases = [name.removeprefix("!").removeprefix("*.") for name in names]
+    depth = max((base.count(".") + 1 for base in bases), default=0)
+    lines = local_table(spark, [(name,) for name in names], "value string")
+    return SuffixRules(_parse(lines), depth, len(names) <= BROADCAST_RULES)
 
 
 def read_suffix_rules(spark: SparkSession, path: str) -> SuffixRules:
-    """Rules from a file in the Public Suffix List format; a fixed-size list of some 10^4 rules."""
+    """Rules from a file in the Public Suffix List format."""
     table = _parse(spark.read.text(path))
-    labels = F.size(F.split("base", r"\."))
-    return SuffixRules(table, table.agg(F.coalesce(F.max(labels), F.lit(0))).first()[0])
+    found = table.agg(F.coalesce(F.max("labels"), F.lit(0)).alias("depth"), F.count(F.lit(1)).alias("n")).first()
+    return SuffixRules(table, found.depth, found.n <= BROADCAST_RULES)
 
 
-def _last_labels(host: Column, labels: Column, count: Column | int) -> Column:
-    wanted = count if isinstance(count, Column) else F.lit(count)
-    return F.array_join(F.slice(labels, F.size(labels) - wanted + 1, wanted), ".")
+def _matched(df: DataFrame, rules: SuffixRules, url_col: str, tag: str) -> DataFrame:
+    """Add the host of a URL and the number of labels in its public suffix.
 
-
-def with_registered_domain(
-    df: DataFrame, rules: SuffixRules, url_col: str = "url", prefix: str = ""
-) -> DataFrame:
-    """Add ``{prefix}domain`` and ``{prefix}suffix`` of the URL.
-
-    One lookup per label count instead of a row per candidate: nothing is exploded and nothing
-    is grouped back. The rule table is far below Spark's own broadcast limit, so the rows of
-    ``df`` do not move; were it ever larger, Spark would fall back to a shuffle by itself.
+    One lookup per label count instead of a row per candidate suffix: nothing is exploded, nothing
+    is grouped back, and with the rules broadcast no row moves.
     """
-    out = df.withColumn("_host", urls.host(F.col(url_col)))
-    out = out.withColumn("_labels", F.split("_host", r"\."))
-    host, labels = F.col("_host"), F.col("_labels")
-    flags = []
+    host = F.col(f"_host{tag}")
+    out = df.withColumn(f"_host{tag}", urls.host(F.col(url_col)))
+    labels = F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
+    names = ("plain", "wildcard", "exception")
+    size = F.lit(0)
     for count in range(1, rules.depth + 1):
-        rule = rules.table.select(
-            F.col("base").alias(f"_base{count}"),
-            *[F.col(c).alias(f"_{c}{count}") for c in ("plain", "wildcard", "exception")],
+        rule = rules.table.filter(F.col("labels") == count).select(
+            F.col("base").alias("_base"), *[F.col(c).alias(f"_{c}{tag}{count}") for c in names]
         )
-        key = F.when(F.size(labels) >= count, F.substring_index(host, ".", -count))
-        out = out.join(rule, key == F.col(f"_base{count}"), "left")
-        flags.append([F.col(f"_{c}{count}") for c in ("plain", "wildcard", "exception")])
-
-    # An exception rule wins and stands for one label less; else the longest match.
-    size = F.lit(0)
-    for count, (plain, wildcard, exception) in enumerate(flags, start=1):
+        rule = F.broadcast(rule) if rules.small else rule
+        out = out.join(rule, F.substring_index(host, ".", -count) == F.col("_base"), "left").drop("_base")
+        plain, wildcard, exception = [F.col(f"_{c}{tag}{count}") for c in names]
+        # An exception rule wins and stands for one label less; else the longest match.
         size = (
             F.when(exception, F.lit(-(count - 1)))
             .when(size < 0, size)
-            .when(wildcard & (F.size(labels) > count), F.lit(count + 1))
+            .when(wildcard & (labels > count), F.lit(count + 1))
             .when(plain, F.greatest(size, F.lit(count)))
             .otherwise(size)
         )
-    is_ip = F.regexp_like(host, F.lit(urls.IPV4_PATTERN)) | F.startswith(host, F.lit("["))
-    out = out.withColumn("_size", F.when(is_ip, F.lit(0)).otherwise(F.abs(size)))
-    size = F.col("_size")
-    # Without a known suffix the last label (or the whole address) is the domain.
-    domain = (
-        F.when(is_ip, host)
-        .when(F.size(labels) > size, F.element_at(labels, -(size + 1)))
-        .otherwise("")
-    )
-    suffix = F.when(size > 0, _last_labels(host, labels, size)).otherwise("")
-    helpers = [c for c in out.columns if c not in df.columns]
-    return (
-        out.withColumn(f"{prefix}domain", domain)
-        .withColumn(f"{prefix}suffix", suffix)
-        .drop(*helpers)
+    is_ip = F.regexp_like(host, F.lit(urls.ADDRESS_PATTERN))
+    return out.withColumn(f"_size{tag}", F.when(is_ip, F.lit(-1)).otherwise(F.abs(size)))
+
+
+def _last_labels(host: Column, count: Column) -> Column:
+    return F.call_function("substring_index", host, F.lit("."), -count)
+
+
+def _registered(tag: str) -> Column:
+    """The domain with its suffix; a numeric address as it is."""
+    host, size = F.col(f"_host{tag}"), F.col(f"_size{tag}")
+    return F.when(size < 0, host).otherwise(_last_labels(host, size + 1))
+
+
+def with_registered_domain(df: DataFrame, rules: SuffixRules, url_col: str = "url") -> DataFrame:
+    """Add ``domain`` and ``suffix`` of the URL.
+
+    Without a known suffix the last label, or the whole numeric address, is the domain; a host
+    that is itself a suffix has an empty domain.
+    """
+    out = _matched(df, rules, url_col, "")
+    host, size = F.col("_host"), F.col("_size")
+    suffix = F.when(size > 0, _last_labels(host, size)).otherwise("")
+    domain = F.when(size <= 0, _registered("")).when(host == suffix, "").otherwise(
+        F.substring_index(_registered(""), ".", 1)
     )
+    return out.select(*df.columns, domain.alias("domain"), suffix.alias("suffix"))
 
 
 def within_domain(links: DataFrame, rules: SuffixRules, enabled: bool = True) -> DataFrame:
     """Links whose registered domain equals that of their seed; all links when switched off."""
     if not enabled:
         return links
-    named = with_registered_domain(links, rules, "href", "_href_")
-    named = with_registered_domain(named, rules, "seed_url", "_seed_")
-    same = (F.col("_href_domain") == F.col("_seed_domain")) & (
-        F.col("_href_suffix") == F.col("_seed_suffix")
-    )
+    named = _matched(_matched(links, rules, "href", "_href"), rules, "seed_url", "_seed")
+    same = (F.col("_size_href") == F.col("_size_seed")) & (_registered("_href") == _registered("_seed"))
     return named.filter(same).select(*links.columns)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions import unicode
+from tidings.functions.binding import let
 from tidings.operators.joins import lookup_join
 from tidings.session import cut_lineage
 
@@ -19,6 +20,7 @@ from tidings.session import cut_lineage
 CLS, SEP, UNK, CONTINUATION = "[CLS]", "[SEP]", "[UNK]", "##"
 PAD_ID = 0
 
+ID_BITS = 40  # room for a token id next to a length in one number
 PIECES = "array<struct<piece:string,id:bigint,start:int,len:int>>"
 
 
@@ -61,26 +63,31 @@ def split_words(words: DataFrame, vocab: Vocabulary, cased: bool = False) -> Dat
     prefix = F.when(F.col("start") > 0, CONTINUATION).otherwise("")
     tries = tries.select("raw", "start", "len", F.concat(prefix, text).alias("token"))
     matched = lookup_join(tries, vocab.table, "token")
+    # Length and id in one number: the larger length wins, and numbers aggregate by hash where
+    # structs would have to be sorted. An id of 0 here means that no token matched.
+    packed = F.shiftleft(F.col("len").cast("bigint"), ID_BITS) + F.coalesce(F.col("id") + 1, F.lit(0))
     longest = (
         matched.filter(F.col("id").isNotNull() | (F.col("len") == 1))
         .groupBy("raw", "start")
-        .agg(F.max(F.struct("len", F.col("token").alias("piece"), "id")).alias("best"))
-    )
-    steps = longest.groupBy("raw").agg(
-        F.sort_array(F.collect_list(F.struct("start", "best.len", "best.piece", "best.id"))).alias("steps")
+        .agg(F.max(packed).alias("best"))
     )
+    steps = longest.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct("start", "best"))).alias("steps"))
+    steps = steps.withColumn("word", unicode.normal_word(F.col("raw"), cased))
 
     def walk(state: Column, step: Column) -> Column:
+        length = F.shiftright(step.best, ID_BITS).cast("int")
+        number = step.best.bitwiseAND(F.lit((1 << ID_BITS) - 1)) - 1
+        mark = F.when(step.start > 0, CONTINUATION).otherwise("")
         piece = F.struct(
-            step.piece.alias("piece"),
-            F.coalesce(step.id, F.lit(vocab.unk_id).cast("bigint")).alias("id"),
+            F.concat(mark, F.substring(F.col("word"), step.start + 1, length)).alias("piece"),
+            F.when(number >= 0, number).otherwise(F.lit(vocab.unk_id).cast("bigint")).alias("id"),
             step.start.alias("start"),
-            step.len.alias("len"),
+            length.alias("len"),
         )
         return F.when(
             step.start == state.next,
             F.struct(
-                (state.next + step.len).alias("next"),
+                (state.next + length).alias("next"),
                 F.array_append(state.pieces, piece).alias("pieces"),
             ),
         ).otherwise(state)
@@ -165,41 +172,41 @@ def encode(
     if max_len is not None and max_len < len(columns) + 1:
         raise ValueError("max_len leaves no room for the special tokens")
     lists = piece_lists(texts, vocab, id_cols, columns, cased)
-    pieces = [F.col(f"pieces{side}") for side in range(len(columns))]
-    if max_len is not None:
+
+    def shortened(pieces: list[Column]) -> list[Column]:
+        if max_len is None:
+            return pieces
         if second is None:
-            pieces = [F.slice(pieces[0], 1, max_len - 2)]
-        else:
-            lengths = kept_lengths(F.size(pieces[0]), F.size(pieces[1]), max_len)
-            pieces = [F.slice(p, 1, n) for p, n in zip(pieces, lengths)]
-
-    def packed(field: str, cls: object, sep: object, kind: str) -> Column:
-        def special(value: object) -> Column:
-            return F.array(F.lit(value).cast(kind))
-
-        parts = [special(cls)]
-        for p in pieces:
-            parts += [p.getField(field), special(sep)]
-        return F.concat(*parts)
-
-    segments = F.array_repeat(F.lit(0), F.size(pieces[0]) + 2)
-    if second is not None:
-        segments = F.concat(segments, F.array_repeat(F.lit(1), F.size(pieces[1]) + 1))
-    out = lists.select(
-        *id_cols,
-        packed("piece", CLS, SEP, "string").alias("tokens"),
-        packed("id", vocab.cls_id, vocab.sep_id, "bigint").alias("token_ids"),
-        segments.alias("segments"),
-    )
-    if max_len is None:
-        return out
-    missing = F.lit(max_len) - F.size("token_ids")
-    return out.select(
-        *id_cols,
-        "tokens",
-        F.concat("token_ids", F.array_repeat(F.lit(PAD_ID).cast("bigint"), missing)).alias("token_ids"),
-        F.concat("segments", F.array_repeat(F.lit(0), missing)).alias("segments"),
-    )
+            return [F.slice(pieces[0], 1, max_len - 2)]
+        lengths = kept_lengths(F.size(pieces[0]), F.size(pieces[1]), max_len)
+        return [F.slice(p, 1, n) for p, n in zip(pieces, lengths)]
+
+    def packed(pieces: Column) -> Column:
+        parts = [pieces.getField(f"pieces{side}") for side in range(len(columns))]
+
+        def line_up(field: str, cls: Column, sep: Column) -> Column:
+            ended = [x for part in parts for x in (part.getField(field), F.array(sep))]
+            return F.concat(F.array(cls), *ended)
+
+        used = sum((F.size(part) + 1 for part in parts), F.lit(1))
+        missing = F.lit(0) if max_len is None else F.lit(max_len) - used
+        segments = [F.array_repeat(F.lit(0), F.size(parts[0]) + 2)]
+        if second is not None:
+            segments.append(F.array_repeat(F.lit(1), F.size(parts[1]) + 1))
+        cls_id, sep_id, pad_id = [F.lit(n).cast("bigint") for n in (vocab.cls_id, vocab.sep_id, PAD_ID)]
+        return F.struct(
+            line_up("piece", F.lit(CLS), F.lit(SEP)).alias("tokens"),
+            F.concat(line_up("id", cls_id, sep_id), F.array_repeat(pad_id, missing)).alias("token_ids"),
+            F.concat(*segments, F.array_repeat(F.lit(0), missing)).alias("segments"),
+        )
+
+    def cut(pieces: Column) -> Column:
+        kept = shortened([pieces.getField(f"pieces{side}") for side in range(len(columns))])
+        return F.struct(*[k.alias(f"pieces{side}") for side, k in enumerate(kept)])
+
+    ordered = F.struct(*[F.col(f"pieces{side}") for side in range(len(columns))])
+    out = lists.select(*id_cols, let(let(ordered, cut), packed).alias("_packed"))
+    return out.select(*id_cols, "_packed.tokens", "_packed.token_ids", "_packed.segments")
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, id_cols: Sequence[str], ids_col: str = "token_ids") -> DataFrame:
@@ -213,32 +220,25 @@ def decode(encoded: DataFrame, vocab: DataFrame, id_cols: Sequence[str], ids_col
     if sep is None:
         raise ValueError("the vocabulary has no separator token")
     inverse = vocab.groupBy(F.col("id").cast("bigint").alias("_id")).agg(F.max_by("token", "line").alias("_token"))
-    ids = F.col(ids_col)
-    bounded = encoded.select(
-        *id_cols,
-        ids.alias("_ids"),
-        (F.array_position(ids, F.lit(sep.id).cast("bigint")) - 1).alias("_sep"),
-        (F.array_position(ids, F.lit(PAD_ID).cast("bigint")) - 1).alias("_pad"),
-    ).filter(F.col("_sep") >= 0)
-    bounded = bounded.withColumn(
-        "_stop", F.when(F.col("_pad") >= 0, F.col("_pad")).otherwise(F.size("_ids"))
-    )
-    rows = bounded.select(*id_cols, "_sep", "_stop", F.posexplode("_ids").alias("_at", "_id"))
+    rows = encoded.select(*id_cols, F.posexplode(ids_col).alias("_at", "_id"))
     named = lookup_join(rows, inverse, "_id")
+    lists = named.groupBy(*id_cols).agg(
+        F.sort_array(F.collect_list(F.struct("_at", "_token"))).getField("_token").alias("_tokens"),
+        F.min(F.when(F.col("_id") == sep.id, F.col("_at"))).alias("_sep"),
+        F.coalesce(
+            F.min(F.when(F.col("_id") == PAD_ID, F.col("_at"))), F.count(F.lit(1)).cast("int")
+        ).alias("_stop"),
+        F.bool_and(F.col("_token").isNotNull()).alias("_known"),
+    )
 
     def between(low: Column, high: Column) -> Column:
-        inside = (F.col("_at") >= low) & (F.col("_at") < high)
-        pairs = F.sort_array(F.collect_list(F.when(inside, F.struct("_at", "_token"))))
-        return pairs.getField("_token")
+        return F.slice("_tokens", low + 1, F.greatest(high - low, F.lit(0)))
 
     sep_at, stop = F.col("_sep"), F.col("_stop")
-    lists = named.groupBy(*id_cols, "_sep", "_stop").agg(
+    return lists.filter(F.col("_known") & sep_at.isNotNull()).select(
+        *id_cols,
         between(F.lit(1), sep_at).alias("first"),
-        between(sep_at + 1, stop - 1).alias("_second"),
-        F.bool_and(F.col("_token").isNotNull()).alias("_known"),
-    )
-    return lists.filter("_known").select(
-        *id_cols, "first", F.when(sep_at < stop - 1, F.col("_second")).alias("second")
+        F.when(sep_at < stop - 1, between(sep_at + 1, stop - 1)).alias("second"),
     )
 
 

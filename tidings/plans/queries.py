@@ -18,7 +18,7 @@ from tidings.operators import embed, fetch, gap, kmeans, noise, partition, repor
 from tidings.operators.domains import suffix_rules, with_registered_domain
 from tidings.plans.crawl import crawl
 from tidings.plans.digest import run_digest
-from tidings.session import scratch_path, spread
+from tidings.session import local_table, scratch_path, spread
 from tidings.sources import sinks, vocabulary
 from tidings.sources.captures import read_captures
 from tidings.sources.seeds import as_seeds
@@ -187,7 +187,7 @@ def _corpus_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     special = ["[PAD]", wordpiece.UNK, wordpiece.CLS, wordpiece.SEP]
-    first = spark.createDataFrame([(0, str(i), t) for i, t in enumerate(special)], "kind int, place string, token string")
+    first = local_table(spark, [(0, str(i), t) for i, t in enumerate(special)], "kind int, place string, token string")
     rest = common.select(forms.alias("form")).select("form.kind", F.col("form.token").alias("place"), "form.token")
     lines = first.unionByName(rest).select(F.struct("kind", "place").alias("line"), "token")
     return vocabulary.number_tokens(lines)
@@ -303,7 +303,7 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = kmeans.first_distinct(points, K_MAX, SEED, ["vec_id"])
     fit = kmeans.fit_block(points, [K_MAX], starts, kmeans.bounding_box(points), seed=SEED)
     rows = [(c, float(n), centre.tolist()) for c, (n, centre) in enumerate(zip(fit.sizes, fit.data_centres(K_MAX)))]
-    centres = spark.createDataFrame(rows, "cluster int, n double, centre array<double>")
+    centres = local_table(spark, rows, "cluster int, n double, centre array<double>")
     return _elements(centres, ["cluster", "n"], "centre", 6)
 
 

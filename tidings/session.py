@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def build_session(master: str | None = None, app_name: str = "tidings", **conf: str) -> SparkSession:
@@ -62,3 +66,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Use all cores on a table with fewer splits than cores; larger tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a local relation, whose exact size the planner knows."""
+    struct = StructType.fromDDL(schema)
+    named = [dict(zip(struct.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, schema=to_arrow_schema(struct)), schema=struct)
