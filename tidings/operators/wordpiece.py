@@ -21,7 +21,7 @@ CLS, SEP, UNK, CONTINUATION = "[CLS]", "[SEP]", "[UNK]", "##"
 PAD_ID = 0
 
 ID_BITS = 40  # room for a token id next to a length in one number
-PIECES = "array<struct<piece:string,id:bigint,start:int,len:int>>"
+STEPS = "array<struct<start:int,best:bigint>>"
 
 
 class Vocabulary(NamedTuple):
@@ -74,27 +74,31 @@ def split_words(words: DataFrame, vocab: Vocabulary, cased: bool = False) -> Dat
     steps = longest.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct("start", "best"))).alias("steps"))
     steps = steps.withColumn("word", unicode.normal_word(F.col("raw"), cased))
 
+    def length(step: Column) -> Column:
+        return F.shiftright(step.best, ID_BITS).cast("int")
+
     def walk(state: Column, step: Column) -> Column:
-        length = F.shiftright(step.best, ID_BITS).cast("int")
-        number = step.best.bitwiseAND(F.lit((1 << ID_BITS) - 1)) - 1
-        mark = F.when(step.start > 0, CONTINUATION).otherwise("")
-        piece = F.struct(
-            F.concat(mark, F.substring(F.col("word"), step.start + 1, length)).alias("piece"),
-            F.when(number >= 0, number).otherwise(F.lit(vocab.unk_id).cast("bigint")).alias("id"),
-            step.start.alias("start"),
-            length.alias("len"),
-        )
         return F.when(
             step.start == state.next,
             F.struct(
-                (state.next + length).alias("next"),
-                F.array_append(state.pieces, piece).alias("pieces"),
+                (state.next + length(step)).alias("next"), F.array_append(state.kept, step).alias("kept")
             ),
         ).otherwise(state)
 
-    begin = F.struct(F.lit(0).alias("next"), F.array().cast(PIECES).alias("pieces"))
-    pieces = F.aggregate("steps", begin, walk, lambda state: state.pieces)
-    return steps.select("raw", pieces.alias("pieces"))
+    def piece(step: Column) -> Column:
+        number = step.best.bitwiseAND(F.lit((1 << ID_BITS) - 1)) - 1
+        mark = F.when(step.start > 0, CONTINUATION).otherwise("")
+        return F.struct(
+            F.concat(mark, F.substring(F.col("word"), step.start + 1, length(step))).alias("piece"),
+            F.when(number >= 0, number).otherwise(F.lit(vocab.unk_id).cast("bigint")).alias("id"),
+            step.start.alias("start"),
+            length(step).alias("len"),
+        )
+
+    # The walk only picks the steps it lands on; their pieces are built once, afterwards.
+    begin = F.struct(F.lit(0).alias("next"), F.array().cast(STEPS).alias("kept"))
+    kept = F.aggregate("steps", begin, walk, lambda state: state.kept)
+    return steps.select("raw", F.transform(kept, piece).alias("pieces"))
 
 
 def _with_pieces(tokens: DataFrame, vocab: Vocabulary, cased: bool) -> DataFrame:

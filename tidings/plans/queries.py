@@ -178,8 +178,10 @@ def pretokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _corpus_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A word-piece vocabulary from the documents: special tokens, then the words met at least
     ``COMMON_WORD`` times, each as a whole word and as a continuation."""
-    words = _documents(spark, sf_dir).select(F.explode(unicode.pretokens(F.col("text"))).alias("word"))
-    common = words.groupBy("word").count().filter(F.col("count") >= COMMON_WORD)
+    raws = _documents(spark, sf_dir).select(F.explode(unicode.raw_words(F.col("text"))).alias("raw"))
+    counts = raws.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    words = counts.select(unicode.normal_word(F.col("raw")).alias("word"), "n").filter(F.col("word") != "")
+    common = words.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_WORD)
     forms = F.explode(
         F.array(
             F.struct(F.lit(1).alias("kind"), F.col("word").alias("token")),
