@@ -10,7 +10,7 @@ from tidings.operators import partition
 from tidings.plans.digest import run_digest
 from tidings.session import scratch_path
 from tidings.sources import sinks
-from tidings.streaming import timeframes
+from tidings.streaming import digests, timeframes
 
 CLOCK = {
     "2024-03-05 10:00:00": "2024-03-05 10:30:00",
@@ -94,10 +94,12 @@ def test_stream_equals_batch_with_late_and_repeated_input(spark, tmp_path):
 def test_digest_per_timeframe(spark):
     rows = [(i, f"s{i}", [float(i % 2) * 9 + i / 100, 1.0], f"t{i // 20}") for i in range(40)]
     landed = spark.createDataFrame(rows, "id bigint, sentence string, features array<double>, timeframe string")
-    out = timeframes.digests_per_timeframe(
+    out = digests.digests_per_timeframe(
         landed, lambda part, label: run_digest(part, label, ["id"], n_refs=3, k_max=4, num_take=3)
     ).collect()
-    assert {r.timeframe for r in out} <= {"t0", "t1"} and out
+    assert {r.timeframe for r in out} == {"t0", "t1"}
+    out = [r for r in out if r.vector is not None]
+    assert out
     for r in out:
         assert len(r.sentences) == 3 and {int(s[1:]) // 20 for s in r.sentences} == {int(r.timeframe[1:])}
 
@@ -140,3 +142,31 @@ def test_counts_are_sums_over_halves(spark, parts):
     halves = per_frame(df.filter("id < 30")).unionByName(per_frame(df.filter("id >= 30")))
     summed = {r.timeframe: r.n for r in halves.groupBy("timeframe").agg(F.sum("n").alias("n")).collect()}
     assert whole == summed
+
+
+def test_capture_stream_equals_one_batch(spark, tmp_path):
+    pages = [
+        (f"http://a.test/{i}", f"<p>Red fox number {'abc'[i % 3]} runs. Blue whale sings {i}! Old tree {'xy'[i % 2]} stands.</p>",
+         dt.datetime(2024, 1, 1, 0, 5 + 30 * (i % 2)))
+        for i in range(12)
+    ]
+    schema = "url string, html string, fetched_at timestamp_ntz"
+    df = spark.createDataFrame(pages, schema)
+    outputs = digests.capture_outputs(dims=4, n_refs=3, k_max=4, num_take=3)
+    runs = []
+    for name, splits in (("split", ["url < 'http://a.test/3'", "url >= 'http://a.test/3'"]), ("whole", ["true"])):
+        folder, base = str(tmp_path / f"in-{name}"), str(tmp_path / name)
+        for part in splits:
+            df.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        timeframes.run_available(arriving, "fetched_at", base, outputs, checkpoint=str(tmp_path / f"state-{name}"))
+        tables = [
+            sorted((r.timeframe, r.url, tuple(r["items"])) for r in sinks.read_table(spark, base, t).collect())
+            for t in ("words", "sentences")
+        ]
+        found = [(r.timeframe, tuple(r.sentences), [round(x, 9) for x in r.vector]) for r in digests.read_digests(spark, base).collect()]
+        runs.append((tables, sorted(found)))
+    assert runs[0] == runs[1]
+    assert len(runs[0][0][0]) == 12 and {t for t, _, _ in runs[0][0][0]} == {
+        "01-01-24_00-30-00_GMT+0300", "01-01-24_01-00-00_GMT+0300"
+    }

@@ -74,15 +74,3 @@ def run_available(
         query.awaitTermination()
     finally:
         query.stop()
-
-
-def digests_per_timeframe(landed: DataFrame, digest_of: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Digest of each timeframe in ``landed``; one search per timeframe, a few per batch."""
-    labels = [row.timeframe for row in landed.select("timeframe").distinct().orderBy("timeframe").collect()]
-    digests = [
-        digest_of(landed.filter(F.col("timeframe") == label).drop("timeframe"), label) for label in labels
-    ]
-    out = digests[0]
-    for more in digests[1:]:
-        out = out.unionByName(more)
-    return out
