@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import warc
+from tidings.llm import langid, mixing, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": warc.op1_warc,
+        "op2_language_id": langid.op2_language_id,
+        "op3_mixing": mixing.op3_mixing,
     }
 
 
