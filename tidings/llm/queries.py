@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import langid, mixing, warc
+from tidings.llm import langid, mixing, secrets, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": warc.op1_warc,
         "op2_language_id": langid.op2_language_id,
         "op3_mixing": mixing.op3_mixing,
+        "op5_secrets": secrets.op5_secrets,
     }
 
 
