@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import langid, mixing, secrets, warc
+from tidings.llm import kdtree, langid, mixing, nearest, pii, secrets, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": langid.op2_language_id,
         "op3_mixing": mixing.op3_mixing,
         "op5_secrets": secrets.op5_secrets,
+        "op6_pii": pii.op6_pii,
+        "op7_kdtree": kdtree.op7_kdtree,
+        "op10_nearest": nearest.op10_nearest,
     }
 
 
