@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import kdtree, langid, mixing, nearest, pii, secrets, warc
+from tidings.llm import kdtree, langid, mixing, nearest, packing, pii, secrets, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secrets": secrets.op5_secrets,
         "op6_pii": pii.op6_pii,
         "op7_kdtree": kdtree.op7_kdtree,
+        "op8_packing": packing.op8_packing,
         "op10_nearest": nearest.op10_nearest,
     }
 
