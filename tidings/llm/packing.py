@@ -17,6 +17,10 @@ by itself; texts of any length are cut into as many windows as they need; an emp
 
 from __future__ import annotations
 
+import json
+import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -30,35 +34,74 @@ from tidings.session import local_table, scratch_path
 
 WINDOW, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000  # words, and units of words, that a worker remembers
 MAX_TRIPLES = 30_000  # combinations of three; those of the most frequent lengths come first
 
 
 # --- tokens ----------------------------------------------------------------------------------
 
 class Words:
-    """Ids of texts, word by word: the tokenizer never joins characters across white space."""
+    """Ids of texts, word by word: the tokenizer never joins characters across white space.
+
+    Words of plain Latin characters are split into the tokenizer's own units here, so that a unit is
+    looked up or encoded once however it is combined; all other words, and those that may hold a
+    special token, go through the whole tokenizer. What is known is kept in the worker process, which
+    Spark uses for many tasks.
+    """
+
+    PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+    UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.end = np.array([END_ID], "<u2").tobytes()
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        with open(path, encoding="utf-8") as file:
+            content = file.read()
+        self.whole = Tokenizer.from_str(content)
+        if self.whole.get_vocab_size() > 1 << 16:
             raise ValueError("two bytes do not hold this vocabulary")
+        parts = json.loads(content)
+        parts |= {"normalizer": None, "pre_tokenizer": parts["pre_tokenizer"]["pretokenizers"][-1], "added_tokens": []}
+        self.unit = Tokenizer.from_str(json.dumps(parts))
+        self.end = np.array([END_ID], "<u2").tobytes()
+        kept = sys.modules.setdefault("_tidings_tokens", types.ModuleType("_tidings_tokens")).__dict__
+        self.words, self.units = kept.setdefault((path, "words"), {}), kept.setdefault((path, "units"), {})
+
+    @staticmethod
+    def _encode(tokenizer, texts: list[str], known: dict, keys: list) -> None:
+        for start in range(0, len(texts), 10_000):
+            found = tokenizer.encode_batch_fast(texts[start:start + 10_000], add_special_tokens=False)
+            for key, one in zip(keys[start:start + 10_000], found):
+                known[key] = np.array(one.ids, "<u2").tobytes()
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain, other = [], []
+        for word in new:
+            text = word.decode()
+            if self.PLAIN.fullmatch(text) and "<|" not in text:
+                plain.append((word, self.UNITS.findall(text.lower())))
+            else:
+                other.append((word, text))
+        units = [u for u in dict.fromkeys(u for _, found in plain for u in found) if u not in self.units]
+        if len(self.units) + len(units) > CACHE_WORDS:
+            self.units.clear()
+            units = list(dict.fromkeys(u for _, found in plain for u in found))
+        self._encode(self.unit, units, self.units, units)
+        get = self.units.__getitem__
+        for word, found in plain:
+            self.words[word] = b"".join(map(get, found))
+        self._encode(self.whole, [text for _, text in other], self.words, [word for word, _ in other])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids and the end id, two bytes each."""
         split = [text.encode("utf-8", "replace").split() for text in texts]  # at \x20 and \x09-\x0D
-        new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(dict.fromkeys(w for words in split for w in words))
-        for start in range(0, len(new), 10_000):
-            part = new[start:start + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u2").tobytes()
-        get = self.known.__getitem__
+        every = dict.fromkeys(w for words in split for w in words)
+        new = [w for w in every if w not in self.words]
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            new = list(every)
+        self._learn(new)
+        get = self.words.__getitem__
         return [b"".join(map(get, words)) + self.end for words in split]
 
 
