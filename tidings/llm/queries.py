@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import kdtree, langid, mixing, nearest, packing, pii, secrets, warc
+from tidings.llm import kdtree, langid, mixing, nearest, packing, pii, secrets, sketchjoin, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_pii": pii.op6_pii,
         "op7_kdtree": kdtree.op7_kdtree,
         "op8_packing": packing.op8_packing,
+        "op9_similarity": sketchjoin.op9_similarity,
         "op10_nearest": nearest.op10_nearest,
     }
 
