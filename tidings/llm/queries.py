@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import kdtree, langid, mixing, nearest, packing, pii, secrets, sketchjoin, warc
+from tidings.llm import kdtree, langid, mixing, nearest, packing, pii, secrets, sketchjoin, toxicity, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": warc.op1_warc,
         "op2_language_id": langid.op2_language_id,
         "op3_mixing": mixing.op3_mixing,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_secrets": secrets.op5_secrets,
         "op6_pii": pii.op6_pii,
         "op7_kdtree": kdtree.op7_kdtree,
