@@ -314,12 +314,15 @@ def fit(docs: DataFrame, sample_docs: int = 400, slice_chars: int = 4000) -> dic
 
     Of a long text, the ``slice_chars`` characters around its first sign are used.
     """
+    holds = F.rlike(F.col("text"), F.lit(r"\+[0-9]|@|[0-9]{7}|[0-9]\.[0-9]+\."))
+    there = docs.where(holds).count()
+    share = 2.0 * sample_docs / max(there, 1)
+    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     at = F.regexp_instr("text", F.lit(r"[0-9]{3}|@"))
-    place = F.xxhash64("doc_id", F.lit("sample"))
-    drawn = docs.where(F.rlike("text", F.lit(r"\+[0-9]|@|[0-9]{7}|[0-9]\.[0-9]+\.")))
-    drawn = drawn.select(place.alias("place"), F.substring("text", F.greatest(F.lit(1), at - slice_chars // 2), F.lit(slice_chars)).alias("piece"))
-    rows = drawn.orderBy("place", "piece").limit(sample_docs).collect()
-    return train([r["piece"] for r in rows])
+    piece = F.substring("text", F.greatest(F.lit(1), at - slice_chars // 2), F.lit(slice_chars))
+    drawn = docs.where((place < share) & holds).select(place.alias("place"), piece.alias("piece"))
+    rows = sorted(drawn.collect(), key=lambda r: (r["place"], r["piece"]))  # about 2 * sample_docs rows
+    return train([r["piece"] for r in rows[:sample_docs]])
 
 
 def _listed(spans: list[tuple[int, int, int]]) -> str:
