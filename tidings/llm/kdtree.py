@@ -7,8 +7,8 @@ with the best bound first, and ends when no bound reaches the k-th score so far
 the floor that the first round of ``grid`` found in another shard.
 
 Components become floor(1024 * x). Products are exact: in doubles while they stay below 2^52, in
-Python integers beyond; a score outside the range of long is set to its nearest end. For NULLs, odd
-vectors, repeated rows and short tables see ``grid``.
+Python integers beyond; a score outside the range of long is set to its nearest end before it is
+ranked. For NULLs, odd vectors, repeated rows and short tables see ``grid``.
 """
 
 from __future__ import annotations
@@ -25,6 +25,11 @@ SCALE, LEAF_ROWS = 1024.0, 64
 LONG = (-(2**63), 2**63 - 1)
 
 
+def in_range(scores: np.ndarray) -> np.ndarray:
+    """Scores as longs: doubles here are whole and small, Python integers are cut to the range."""
+    return scores if scores.dtype != object else np.minimum(np.maximum(scores, LONG[0]), LONG[1])
+
+
 class Tree:
     """Nodes in arrays: box (low, high), children or rows [start, end) of the reordered table."""
 
@@ -51,7 +56,7 @@ class Tree:
 
     def best(self, query: np.ndarray, ids: np.ndarray, own: int, k: int, floor: int) -> list[tuple]:
         """At most k pairs (score, -id), and none below the floor; ``ids`` in the tree's order."""
-        bounds = self.high @ np.maximum(query, 0) + self.low @ np.minimum(query, 0)
+        bounds = in_range(self.high @ np.maximum(query, 0) + self.low @ np.minimum(query, 0))
         heap, open_ = [], [(-bounds[0], 0)]
         while open_:
             bound, node = heapq.heappop(open_)
@@ -64,7 +69,7 @@ class Tree:
                         heapq.heappush(open_, (-bounds[child], child))
                 continue
             start, end = self.spans[node]
-            scores = self.rows[start:end] @ query
+            scores = in_range(self.rows[start:end] @ query)
             for i in np.flatnonzero(scores >= least):
                 pair = (int(scores[i]), -int(ids[start + i]))
                 if -pair[1] == own:
@@ -90,7 +95,7 @@ def search_tile(queries, query_ids, floors, candidates, ids, k):
         for score, minus_id in tree.best(query, ids, int(query_ids[i]), k, int(floors[i])):
             found[0].append(i)
             found[1].append(-minus_id)
-            found[2].append(min(max(score, LONG[0]), LONG[1]))
+            found[2].append(score)
     return found
 
 
