@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -254,6 +255,28 @@ def score_documents(docs: DataFrame, model: Model | None, keep: list[str]) -> Da
     return source.mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, model: Model | None, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more, all columns kept.
+
+    A row travels as one struct, so no column name can clash with those used here. ``least`` is little
+    more than chance: it rejects texts without letters and those that fit no language at all.
+    """
+    if model is None:
+        return docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    whole = docs.select(F.struct("*").alias("doc"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                found = scorer.score(pc.struct_field(part.column("doc"), "text").to_pylist())
+                yield part.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found]))
+
+    return whole.mapInArrow(run, whole.schema).select("doc.*")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     found = score_documents(docs, fit(docs), ["doc_id"])

@@ -121,41 +121,47 @@ def summarise(scanned: DataFrame, spans: DataFrame, keep: list[str]) -> DataFram
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The documents with every reported span replaced; documents without one are passed on unmoved.
+    """The documents with every reported span replaced by ``mark``, all columns kept (n_chars follows).
 
-    Only documents that hold some part meet their spans in a join, by the digest of their text; a
-    text that occurs in many rows has its spans once.
+    Documents without any part are passed on unmoved. The others meet their spans in a join by the
+    digest of their text; a text that occurs in many rows is scanned once. A row travels as one
+    struct, so no column name can clash with those used here.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    tests = _can_match(text)
-    may = tests[0] & F.lit(False)
-    for k, test in enumerate(tests):
+    may = F.lit(False)
+    for k, test in enumerate(_can_match(text)):
         may = may | (test & F.rlike(text, F.lit(PATTERNS[k])))
-    digest = F.sha2(text, 256)
-    held = docs.where(may).withColumn("_digest", digest)
-    texts = held.groupBy("_digest").agg(F.first("text").alias("text"))
-    scanned = scan(texts, ["_digest"])
-    spans = linked_spans(all_spans(scanned))
-    edges = spans.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    edges = cut_lineage(scanned.select("_digest", "_row").join(edges, "_row").select("_digest", "_spans"))
-    # A span that begins inside an earlier one only widens it; pieces between spans are kept as they are.
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+    held = docs.where(may).select(F.struct("*").alias("doc"), F.sha2(F.col("text"), 256).alias("digest"))
+    texts = held.groupBy("digest").agg(F.first("doc.text").alias("text"))
+    scanned = scan(texts, ["digest"])
+    spans = linked_spans(all_spans(scanned)).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    edges = cut_lineage(scanned.select("digest", "_row").join(spans, "_row").select("digest", "spans"))
+    joined = held.join(edges, "digest", "left").select("doc", F.col("doc.text").alias("text"), "spans")
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def piece(low: Column, high: Column) -> Column:
+        return F.substring(F.col("text"), (low + 1).cast("int"), (high - low).cast("int"))
 
     def step(state: Column, span: Column) -> Column:
-        gap = F.substring(F.col("text"), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        fresh = F.struct(span["end"].alias("at"), F.concat(state["out"], F.array(gap, F.lit(mark))).alias("out"))
-        wider = F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["out"].alias("out"))
-        return F.when((span["start"] >= state["at"]) | (F.size(state["out"]) == 0), fresh).otherwise(wider)
+        fresh = F.struct(span["end"].alias("at"), F.concat(state["out"], F.array(piece(state["at"], span["start"]), F.lit(mark))).alias("out"))
+        wider = F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["out"].alias("out"))  # begins inside the last one
+        return F.when((span["start"] < state["at"]) & (F.size(state["out"]) > 0), wider).otherwise(fresh)
 
     def finish(state: Column) -> Column:
-        rest = F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.length("text"))
-        return F.concat(F.array_join(state["out"], ""), rest)
-
-    cleaned = F.aggregate("_spans", start, step, finish)
-    joined = held.join(edges, "_digest", "left").withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cleaned))
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return docs.where(~may).unionByName(joined.select(*docs.columns))
+        return F.concat(F.array_join(state["out"], ""), piece(state["at"], F.length("text").cast("long")))
+
+    cleaned = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.aggregate("spans", begin, step, finish))
+    changed = joined.select("doc", F.col("spans").isNotNull().alias("changed"), cleaned.alias("cleaned"))
+
+    def column(name: str) -> Column:
+        old = F.col("doc").getField(name)
+        if name == "text":
+            return F.col("cleaned").alias(name)
+        if name == "n_chars":
+            return F.when(F.col("changed"), F.length("cleaned").cast(docs.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return docs.where(~may).unionByName(changed.select(*[column(c) for c in docs.columns]))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
