@@ -34,75 +34,82 @@ from tidings.session import local_table, scratch_path
 
 WINDOW, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 800_000  # words, and units of words, that a worker remembers
+CACHE_UNITS = 600_000  # what a worker remembers
 MAX_TRIPLES = 30_000  # combinations of three; those of the most frequent lengths come first
 
 
 # --- tokens ----------------------------------------------------------------------------------
 
-class Words:
-    """Ids of texts, word by word: the tokenizer never joins characters across white space.
+class Tokens:
+    """Ids of texts, unit by unit.
 
-    Words of plain Latin characters are split into the tokenizer's own units here, so that a unit is
-    looked up or encoded once however it is combined; all other words, and those that may hold a
-    special token, go through the whole tokenizer. What is known is kept in the worker process, which
-    Spark uses for many tasks.
+    The tokenizer lower-cases, drops white space and splits a text into units (contractions, runs of
+    letters, single digits, runs of other signs), which it encodes one by one. Texts of plain Latin
+    characters are split here, so that each distinct unit is encoded once; other words, and those that
+    may hold a special token, go through the whole tokenizer. What is known is kept in the worker
+    process, which Spark uses for many tasks.
     """
 
-    PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
-    UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+    PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+    UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f\t-\r ]+")
+    WORDS = re.compile("[^\t-\r ]+")
+    ODD = "\0"  # begins the key of a word that is not plain; no plain text holds it
 
     def __init__(self, path: str):
+        kept = sys.modules.setdefault("_tidings_tokens", types.ModuleType("_tidings_tokens")).__dict__
+        if path not in kept:
+            kept[path] = (*self._load(path), {})
+        self.whole, self.unit, self.known = kept[path]
+        self.end = np.array([END_ID], "<u2").tobytes()
+
+    @staticmethod
+    def _load(path: str) -> tuple:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             content = file.read()
-        self.whole = Tokenizer.from_str(content)
-        if self.whole.get_vocab_size() > 1 << 16:
+        whole = Tokenizer.from_str(content)
+        if whole.get_vocab_size() > 1 << 16:
             raise ValueError("two bytes do not hold this vocabulary")
         parts = json.loads(content)
         parts |= {"normalizer": None, "pre_tokenizer": parts["pre_tokenizer"]["pretokenizers"][-1], "added_tokens": []}
-        self.unit = Tokenizer.from_str(json.dumps(parts))
-        self.end = np.array([END_ID], "<u2").tobytes()
-        kept = sys.modules.setdefault("_tidings_tokens", types.ModuleType("_tidings_tokens")).__dict__
-        self.words, self.units = kept.setdefault((path, "words"), {}), kept.setdefault((path, "units"), {})
-
-    @staticmethod
-    def _encode(tokenizer, texts: list[str], known: dict, keys: list) -> None:
-        for start in range(0, len(texts), 10_000):
-            found = tokenizer.encode_batch_fast(texts[start:start + 10_000], add_special_tokens=False)
-            for key, one in zip(keys[start:start + 10_000], found):
-                known[key] = np.array(one.ids, "<u2").tobytes()
-
-    def _learn(self, new: list[bytes]) -> None:
-        plain, other = [], []
-        for word in new:
-            text = word.decode()
-            if self.PLAIN.fullmatch(text) and "<|" not in text:
-                plain.append((word, self.UNITS.findall(text.lower())))
-            else:
-                other.append((word, text))
-        units = [u for u in dict.fromkeys(u for _, found in plain for u in found) if u not in self.units]
-        if len(self.units) + len(units) > CACHE_WORDS:
-            self.units.clear()
-            units = list(dict.fromkeys(u for _, found in plain for u in found))
-        self._encode(self.unit, units, self.units, units)
-        get = self.units.__getitem__
-        for word, found in plain:
-            self.words[word] = b"".join(map(get, found))
-        self._encode(self.whole, [text for _, text in other], self.words, [word for word, _ in other])
+        return whole, Tokenizer.from_str(json.dumps(parts))
+
+    def _is_plain(self, text: str) -> bool:
+        return bool(self.PLAIN.fullmatch(text)) and "<|" not in text
+
+    def _units(self, text: str) -> list[str]:
+        if self._is_plain(text):
+            return self.UNITS.findall(text.lower())
+        found: list[str] = []
+        for word in self.WORDS.findall(text):
+            found += self.UNITS.findall(word.lower()) if self._is_plain(word) else [self.ODD + word]
+        return found
+
+    def _learn(self, new: list[str]) -> None:
+        odd = [u for u in new if u.startswith(self.ODD)]
+        for word, found in zip(odd, self.whole.encode_batch_fast([w[1:] for w in odd], add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u2").tobytes()
+        plain = [u for u in new if not u.startswith(self.ODD)] if odd else new
+        for start in range(0, len(plain), 20_000):
+            part = plain[start:start + 20_000]
+            found = self.unit.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids, owners = np.array(found.ids, "<u2").tobytes(), np.array(found.word_ids)
+            edges = (2 * np.searchsorted(owners, np.arange(len(part) + 1))).tolist()
+            self.known.update((u, ids[low:high]) for u, low, high in zip(part, edges, edges[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids and the end id, two bytes each."""
-        split = [text.encode("utf-8", "replace").split() for text in texts]  # at \x20 and \x09-\x0D
-        every = dict.fromkeys(w for words in split for w in words)
-        new = [w for w in every if w not in self.words]
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
+        split = [self._units(text) for text in texts]
+        every: set[str] = set()
+        every.update(*split)
+        new = list(every.difference(self.known))
+        if len(self.known) + len(new) > CACHE_UNITS:
+            self.known.clear()
             new = list(every)
         self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) + self.end for words in split]
+        get = self.known.__getitem__
+        return [b"".join(map(get, units)) + self.end for units in split]
 
 
 def tokenise(docs: DataFrame, path: str, folder: str) -> DataFrame:
@@ -111,11 +118,11 @@ def tokenise(docs: DataFrame, path: str, folder: str) -> DataFrame:
     schema = source.select("doc_id").schema.add("n", "long").add("ids", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(path)
+        tokens = Tokens(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = words.encode([t or "" for t in part.column("text").to_pylist()])
+                ids = tokens.encode([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(i) // 2 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n", "ids"])
@@ -275,7 +282,7 @@ def _plan_table(spark: SparkSession, plan: list[tuple], schema: str) -> DataFram
 
 def cut_pieces(stored: DataFrame, placed: DataFrame) -> DataFrame:
     """Join the ids with their places and check-sum each piece."""
-    joined = stored.join(placed, "row").select("doc_id", "n", "ids", "cuts")
+    joined = stored.join(placed.hint("shuffle_hash"), "row").select("doc_id", "n", "ids", "cuts")
     schema = stored.select("doc_id").schema
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     for name in names:
