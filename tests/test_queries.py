@@ -4,8 +4,8 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.conftest import plan_of
+from tidings.plans import oracles, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -19,15 +19,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.registered()) == set(oracles.all_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries.registered()))
 def test_query_matches_sql(spark, con, name):
     from tools.compare import rows_of
 
-    df = entry.queries()[name](spark, SF_DIR)
-    result = con.execute(entry.oracle_sql()[name])
+    df = queries.registered()[name](spark, SF_DIR)
+    result = con.execute(oracles.all_sql()[name])
     columns = [d[0] for d in result.description]
     expected = rows_of(columns, result.fetchall())
     assert sorted(df.columns) == sorted(columns)
