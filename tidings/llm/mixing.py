@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidings.llm.common import WORD_PATTERN, running_sum, table
-from tidings.session import local_table
+from tidings.session import cut_lineage, local_table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BLOCK_TOKENS = 64
@@ -84,7 +84,8 @@ def plan_sources(per_source: DataFrame, weights: Sequence[float], block_tokens:
     out = []
     for rank, (row, target) in enumerate(zip(ordered, targets)):
         blocks = -(-row["words"] // block_tokens)
-        quota = min(math.floor(target / block_tokens + 0.5), math.floor(most * blocks)) if blocks else 0
+        # by the mean block, as the last block is shorter
+        quota = min(math.floor(target * blocks / row["words"] + 0.5), math.floor(most * blocks)) if blocks else 0
         out.append((row["source"], rank, row["words"], row["n"], blocks, quota, target))
     return out
 
@@ -132,7 +133,8 @@ def numbered_slots(counts: DataFrame, sources: DataFrame) -> DataFrame:
     placed = counts.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(sources.select("rank", "quota"), "rank")
     kept_n = F.greatest(F.lit(0), F.least(F.col("n"), F.col("quota") - F.col("start")))
     placed = placed.withColumn("kept", kept_n)
-    kept = placed.where("kept > 0").select("shard", "rank", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("kept") - 1)).alias("ordinal"))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows, but each becomes many
+    kept = placed.where("kept > 0").repartition(tasks, "shard", "rank").select("shard", "rank", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("kept") - 1)).alias("ordinal"))
     by_shard = Window.orderBy("shard", "rank").rowsBetween(Window.unboundedPreceding, -1)
     surplus = placed.where("n > kept").withColumn("over", F.col("n") - F.col("kept")).withColumn("first", F.coalesce(F.sum("over").over(by_shard), F.lit(0)))
     surplus = surplus.select("shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("over") - 1)).alias("unit"))
@@ -152,7 +154,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, block_tokens: int =
     The text is read for its size only; sizes, not texts, are shuffled.
     """
     spark = docs.sparkSession
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
     plan = plan_sources(sized.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), weights, block_tokens, total_share, most)
     sources = local_table(spark, plan, "source string, rank int, words long, n long, blocks long, quota long, target double")
     laid = running_sum(sized, ["source"], ["doc_id", "size"], F.col("size"), "first", sum(p[3] for p in plan))
@@ -185,6 +187,22 @@ def taken_words(slots: DataFrame, laid: DataFrame, block_tokens: int = BLOCK_TOK
     return summed.select(*names, "taken").unionByName(zero)
 
 
+def apply_mix(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """The documents as often as the mix takes them (0 to 2 times), all columns kept.
+
+    A document of which 1.3 times its words are taken stands once, or twice with chance 0.3 by the hash
+    of its id. Rows that agree in doc_id and size share what is taken of them evenly; a text without words does not occur.
+    """
+    slots, laid = mix(docs, seed=seed)
+    by_key = taken_words(slots, laid).where("size > 0").groupBy("doc_id", "size").agg((F.sum("taken") / F.sum("size")).alias("ratio"))
+    by_key = cut_lineage(by_key.where("ratio > 0"))
+    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), word_count(F.col("text")).alias("words"))
+    joined = keyed.join(by_key, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("words") == F.col("size")))
+    chance = F.pmod(F.xxhash64(F.lit(seed), "id", "words"), F.lit(1 << 30)) / float(1 << 30)
+    times = F.floor("ratio") + F.when(chance < F.col("ratio") - F.floor("ratio"), 1).otherwise(0)
+    return joined.where(times > 0).select("doc", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select("doc.*")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     slots, laid = mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return taken_words(slots, laid)
