@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm.common import remainder, table
+from tidings.session import local_table
 
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 # Common insults of English, and the second person in four languages.
@@ -188,21 +189,29 @@ class Model:
 
 # --- documents -------------------------------------------------------------------------------
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample_per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """(text, toxic, place) and the number of labels of each class: at most about 2 * sample_per_class labelled texts of each class, by hash.
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample_per_class: int) -> tuple[DataFrame, list[float]]:
+    """(text, toxic, place) of at most ``sample_per_class`` labelled documents of each class, by hash,
+    and how many labels of the class each of them stands for.
 
-    Labels are joined after they are thinned out, so texts meet only the labels of the sample.
+    The ids are drawn first. They are bounded by the parameter, so they are broadcast and no text is
+    shuffled to find them.
     """
-    usable = labels.where((remainder(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("toxic").isin(0, 1))
-    usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    usable = labels.where((remainder(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+    usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col("toxic") == value, min(1.0, 2.0 * sample_per_class / n)).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    drawn = usable.withColumn("place", place).where(F.col("place") < share)
-    # Few ids: Spark may broadcast them, as it knows their size; else both sides meet by doc_id.
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(drawn, "doc_id").select("text", "toxic", "place"), counts
+    drawn = usable.withColumn("place", place).where(F.col("place") < share).collect()  # about 2 * sample_per_class of each class
+    kept = []
+    for value in (0, 1):
+        mine = sorted((r["place"], r["doc_id"]) for r in drawn if r["toxic"] == value)
+        kept += [(doc_id, value, at) for at, doc_id in mine[:sample_per_class]]
+    sizes = [sum(k[1] == v for k in kept) for v in (0, 1)]
+    ids = F.broadcast(local_table(docs.sparkSession, kept, "doc_id long, toxic int, place double"))
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id").select("text", "toxic", "place")
+    return found, [counts.get(v, 0) / max(sizes[v], 1) for v in (0, 1)]
 
 
 def learn_words(sample: list[tuple[str, int]], least_docs: int = 4, most_words: int = 300) -> dict[str, float]:
@@ -246,14 +255,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 3000) -> Mod
 
     What comes to the driver is bounded by that number of texts.
     """
-    drawn, counts = labelled_sample(docs, labels, sample_per_class)
-    kept, count = [], {0: 0, 1: 0}
-    for row in sorted(drawn.collect(), key=lambda r: (r["place"], r["text"])):
-        if count[row["toxic"]] < sample_per_class:
-            count[row["toxic"]] += 1
-            kept.append((row["text"], row["toxic"]))
-    stands_for = [counts.get(v, 0) / max(count[v], 1) for v in (0, 1)]
-    return train(kept, stands_for[0] / stands_for[1] if stands_for[1] else 1.0)
+    drawn, stands_for = labelled_sample(docs, labels, sample_per_class)
+    rows = sorted(drawn.collect(), key=lambda r: (r["place"], r["text"]))
+    return train([(r["text"], r["toxic"]) for r in rows], stands_for[0] / stands_for[1] if stands_for[1] else 1.0)
 
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
