@@ -111,7 +111,7 @@ def test_registered_domain_rules(spark):
         "http://a.b.co.uk/x": ("b", "co.uk"), "https://X.Example.COM:8080/": ("example", "com"),
         "http://co.uk/": ("", "co.uk"), "http://shop.any.ck": ("shop", "any.ck"), "http://any.ck": ("", "any.ck"),
         "http://www.ck": ("www", "ck"), "http://a.www.ck": ("www", "ck"), "http://localhost/": ("localhost", ""),
-        "http://x.unknown": ("unknown", ""), "http://10.0.0.1/a": ("10.0.0.1", ""), "http://user@a.com/": ("a", "com"),
+        "http://x.unknown": ("x", "unknown"), "http://10.0.0.1/a": ("10.0.0.1", ""), "http://user@a.com/": ("a", "com"),
         "http://[::1]/": ("[::1]", ""), "http://a.com./": ("a", "com"),
     }
     df = spark.createDataFrame([(u,) for u in cases], "url string")
@@ -164,3 +164,21 @@ def test_latest_capture(spark):
     rows = [("u", "old", 1), ("u", "new", 2), ("v", "a", None), ("v", "b", None), ("v", "b", None), ("w", None, 3)]
     df = spark.createDataFrame(rows, "url string, html string, at int")
     assert sorted(map(tuple, latest(df, "at").collect())) == [("u", "new", 2), ("v", "b", None), ("w", None, 3)]
+
+
+def domain_of(spark, rules, *urls):
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    rows = {r.url: (r.domain, r.suffix) for r in domains.with_registered_domain(df, rules).collect()}
+    return [rows[u] for u in urls]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_unknown_suffixes_follow_the_default_rule(spark, small):
+    rules = domains.suffix_rules(spark, ["com", "рф", "*.ck", "!www.ck", "co.uk", "uk"])._replace(small=small)
+    found = domain_of(spark, rules, "http://a.io/", "http://x.b.io/", "http://localhost/", "http://10.0.0.1/", "http://m.xn--d1acpjx3f.xn--p1ai/",
+                      "http://m.пример.рф/", "http://a.b.ck/", "http://www.ck/", "http://x.co.uk/", "http://co.uk/")
+    assert found == [("a", "io"), ("b", "io"), ("localhost", ""), ("10.0.0.1", ""), ("xn--d1acpjx3f", "xn--p1ai"), ("пример", "рф"),
+                     ("a", "b.ck"), ("www", "ck"), ("x", "co.uk"), ("", "co.uk")]
+    links = spark.createDataFrame([("http://a.io/", "http://b.io/"), ("http://m.a.io/", "http://a.io/"), ("http://x.com.br/", "http://y.com.br/")], "href string, seed_url string")
+    kept = {r.href for r in domains.within_domain(links, rules).collect()}
+    assert "http://a.io/" not in kept and "http://m.a.io/" in kept

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions import timeframe
-from tidings.operators import partition
+from tidings.operators import partition, wordpiece
 from tidings.plans.digest import run_digest
 from tidings.session import scratch_path
-from tidings.sources import sinks
+from tidings.sources import sinks, vocabulary
 from tidings.streaming import digests, timeframes
 
 CLOCK = {
@@ -170,3 +170,33 @@ def test_capture_stream_equals_one_batch(spark, tmp_path):
     assert len(runs[0][0][0]) == 12 and {t for t, _, _ in runs[0][0][0]} == {
         "01-01-24_00-30-00_GMT+0300", "01-01-24_01-00-00_GMT+0300"
     }
+
+
+def test_rows_without_a_time_are_kept_apart(spark, tmp_path):
+    schema = "id int, ts timestamp"
+    spark.createDataFrame([(1, None), (2, None)], schema).unionByName(spark.sql("SELECT 3 AS id, timestamp'2024-01-01 10:05:00' AS ts")).write.parquet(str(tmp_path / "in"))
+    counted = {"n": lambda landed: landed.groupBy("timeframe").agg(F.count(F.lit(1)).alias("n"))}
+    arrivals = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    timeframes.run_available(arrivals, "ts", str(tmp_path / "out"), counted, "360 minutes", str(tmp_path / "state"))
+    assert [r.n for r in spark.read.parquet(str(tmp_path / "out" / "n")).collect()] == [1]
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out" / "undated")).collect()) == [1, 2]
+
+
+def test_a_batch_without_rows_ends_well(spark, tmp_path):
+    schema = "url string, html string, fetched_at timestamp"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
+    arrivals = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    outputs = digests.capture_outputs(dims=4, n_refs=2, k_max=2)
+    timeframes.run_available(arrivals, "fetched_at", str(tmp_path / "out"), outputs, None, str(tmp_path / "state"))
+
+
+def test_capture_stream_with_token_ids(spark, tmp_path):
+    tokens = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "one", "two", "."]
+    vocab = wordpiece.prepare(vocabulary.number_tokens(spark.createDataFrame(list(enumerate(tokens)), "line bigint, token string")))
+    pages = spark.sql("SELECT 'http://a.test/' AS url, '<p>One two.</p>' AS html, timestamp'2024-01-01 10:05:00' AS fetched_at")
+    pages.write.parquet(str(tmp_path / "in"))
+    arrivals = spark.readStream.schema(pages.schema).parquet(str(tmp_path / "in"))
+    outputs = digests.capture_outputs(dims=4, vocab=vocab, n_refs=2, k_max=2)
+    timeframes.run_available(arrivals, "fetched_at", str(tmp_path / "out"), outputs, None, str(tmp_path / "state"))
+    assert [r["items"] for r in sinks.read_table(spark, str(tmp_path / "out"), "token_ids").collect()] == [[2, 4, 5, 6, 3]]
+    assert digests.read_digests(spark, str(tmp_path / "out")).count() == 0  # one sentence: no K is found

@@ -12,6 +12,7 @@ TOKENS = [
     "[PAD]", "[UNK]", "[CLS]", "[SEP]", "all", "rights", "re", "##ser", "##ved", ".", "#", "hash", "tag", "吃",
     "了", "?", "un", "##aff", "##able", "x", "##x", "при", "##вет", "е",
 ]
+# Texts whose spans are known.
 TEXTS = [
     "Привет, ёлка Й  мир!", "한국어 각", "éà ≠ x\x00y \x0bz q", "嘛呢，吃了吗？", "All rights reserved.",
     "  吃了吗？    ", "#hash tag ##", "áb İI", "", " \n ", "কো ক়", "＄$+", "unaffable unx xx", "a b c d\te\rf",
@@ -23,31 +24,26 @@ def category(c):
     return unicodedata.category(c)
 
 
-def brute_words(value):
-    value = "".join(c for c in unicodedata.normalize("NFD", value) if category(c) != "Mn").lower()
-    spaced = []
-    for c in value:
-        code = ord(c)
-        ascii_mark = any(low <= code <= high for low, high in unicode.ASCII_PUNCTUATION)
-        cjk = any(low <= code <= high for low, high in unicode.CJK_BLOCKS)
-        if ascii_mark or category(c).startswith("P") or cjk:
-            spaced.append(f" {c} ")
-        elif c in " \n\r\t" or category(c) == "Zs":
-            spaced.append(" ")
-        elif c != "�" and category(c) not in ("Cc", "Cf"):
-            spaced.append(c)
-    return "".join(spaced).split()
-
-
-def brute_pieces(word):
-    known, out, start = set(TOKENS), [], 0
-    while start < len(word):
-        mark = "##" if start else ""
-        sizes = [n for n in range(len(word) - start, 0, -1) if mark + word[start : start + n] in known]
-        size = sizes[0] if sizes else 1
-        out.append(mark + word[start : start + size])
-        start += size
-    return out
+# The pieces of each word of each text, written by hand.
+PIECES = [
+    [["при", "##вет"], [","], ["е", "##л", "##к", "##а"], ["и"], ["м", "##и", "##р"], ["!"]],
+    [["\u1112", "##\u1161", "##\u11ab", "##\u1100", "##\u116e", "##\u11a8", "##\u110b", "##\u1165"], ["\u1100", "##\u1161", "##\u11a8"]],
+    [["e", "##a"], ["="], ["x", "##y"], ["z"], ["q"]],
+    [["嘛"], ["呢"], ["，"], ["吃"], ["了"], ["吗"], ["？"]],
+    [["all"], ["rights"], ["re", "##ser", "##ved"], ["."]],
+    [["吃"], ["了"], ["吗"], ["？"]],
+    [["#"], ["hash"], ["tag"], ["#"], ["#"]],
+    [["a", "##b"], ["i", "##i"]],
+    [],
+    [],
+    [["\u0995", "##\u09c7", "##\u09be"], ["\u0995"]],
+    [["＄"], ["$"], ["+"]],
+    [["un", "##aff", "##able"], ["un", "##x"], ["x", "##x"]],
+    [["a"], ["b"], ["c"], ["d"], ["e"], ["f"]],
+    [["x"]],
+    [["‘"], ["q"], ["’"], ["«"], ["w"], ["»"], ["r"]],
+]
+WORDS = [["".join(p.removeprefix("##") if i else p for i, p in enumerate(word)) for word in text] for text in PIECES]
 
 
 @pytest.fixture(scope="module")
@@ -70,9 +66,8 @@ def test_pretokens_and_raw_words(texts):
         "id", unicode.pretokens(F.col("text")).alias("words"),
         F.transform(unicode.raw_words(F.col("text")), lambda w: unicode.normal_word(w)).alias("raw"),
     ).orderBy("id").collect()
-    expected = [brute_words(t) for t in TEXTS]
-    assert [r.words for r in rows] == expected
-    assert [[w for w in r.raw if w] for r in rows] == expected
+    assert [r.words for r in rows] == WORDS
+    assert [[w for w in r.raw if w] for r in rows] == WORDS
 
 
 def test_normalise_every_decomposable_character(spark):
@@ -84,12 +79,19 @@ def test_normalise_every_decomposable_character(spark):
     assert [r.c for r in rows if r.out != plain[r.c]] == []
 
 
-def test_pieces_match_greedy_walk(texts, vocab):
+@pytest.fixture(params=["shipped", "joined"])
+def way(request, monkeypatch):
+    """Both ways to a vocabulary: in the tasks, or in a join."""
+    if request.param == "joined":
+        monkeypatch.setattr(wordpiece, "SHIPPED_TOKENS", -1)
+
+
+def test_pieces_match_greedy_walk(texts, vocab, way):
     ids = {t: i for i, t in enumerate(TOKENS)}
     rows = {r.id: r for r in wordpiece.encode(texts, vocab, ["id"]).collect()}
     assert len(rows) == len(TEXTS)
-    for i, t in enumerate(TEXTS):
-        tokens = ["[CLS]"] + [p for w in brute_words(t) for p in brute_pieces(w)] + ["[SEP]"]
+    for i in range(len(TEXTS)):
+        tokens = ["[CLS]"] + [p for word in PIECES[i] for p in word] + ["[SEP]"]
         assert rows[i].tokens == tokens
         assert rows[i].token_ids == [ids.get(x, 1) for x in tokens]
         assert rows[i].segments == [0] * len(tokens)
@@ -107,7 +109,7 @@ def test_truncation_in_closed_form(spark):
             assert (row.x, row.y) == (x, y), (row, max_len)
 
 
-def test_encode_truncates_and_pads(texts, vocab):
+def test_encode_truncates_and_pads(texts, vocab, way):
     rows = {r.id: r for r in wordpiece.encode(texts, vocab, ["id"], max_len=6).collect()}
     assert rows[4].tokens == ["[CLS]", "all", "rights", "re", "##ser", "[SEP]"]
     assert rows[8].token_ids == [2, 3, 0, 0, 0, 0] and rows[8].segments == [0] * 6
@@ -130,7 +132,7 @@ def test_decode_inverts_encode(texts, vocab, numbered):
     assert all(r.second is None for r in single.collect())
 
 
-def test_spans_of_known_texts(texts, vocab):
+def test_spans_of_known_texts(texts, vocab, way):
     rows = wordpiece.token_spans(texts, vocab, ["id"]).orderBy("id", "at", "part").collect()
     spans = {}
     for r in rows:
@@ -145,9 +147,28 @@ def test_spans_of_known_texts(texts, vocab):
         assert set(piece) <= set(found)
 
 
+def test_both_ways_agree(spark, vocab, monkeypatch):
+    rows = [(i, " ".join(TEXTS[j] for j in range(i % 5, len(TEXTS))), f"x tag {i}") for i in range(8)] + [(8, None, "a"), (9, "y" * 300, None)]
+    df = spark.createDataFrame(rows, "id int, text string, other string").repartition(3)
+
+    def found():
+        pairs = [wordpiece.encode(df, vocab, ["id"], second="other", max_len=n).collect() for n in (None, 5, 24)]
+        return [sorted(map(str, p)) for p in pairs] + [sorted(map(str, wordpiece.token_spans(df, vocab, ["id"]).collect()))]
+
+    shipped = found()
+    monkeypatch.setattr(wordpiece, "SHIPPED_TOKENS", -1)
+    assert found() == shipped
+
+
+def test_rows_without_decoding_stay(spark, numbered):
+    encoded = spark.createDataFrame([(1, [2, 4, 3]), (2, [2, 4]), (3, [2, 999, 3]), (4, []), (5, None)], "id int, token_ids array<bigint>")
+    rows = {r.id: (r.first, r.second) for r in wordpiece.decode(encoded, numbered, ["id"]).collect()}
+    assert rows == {1: (["all"], None), 2: (None, None), 3: (None, None), 4: (None, None), 5: (None, None)}
+
+
 def test_duplicate_tokens(spark):
     lines = spark.createDataFrame(list(enumerate(["a", "b", "a", "c"])), "line bigint, token string")
-    ids = {r.token: r.id for r in vocabulary.number_tokens(lines, "reference").collect()}
+    ids = {r.token: r.id for r in vocabulary.number_tokens(lines, "collide").collect()}
     assert ids == {"a": 2, "b": 1, "c": 2}
     with pytest.raises(ValueError, match="a"):
         vocabulary.number_tokens(lines)
@@ -157,10 +178,10 @@ def test_duplicate_tokens(spark):
 
 def test_last_token_of_a_shared_id_decodes(spark):
     lines = spark.createDataFrame(list(enumerate(["[PAD]", "b", "[SEP]", "b", "c"])), "line bigint, token string")
-    vocab = vocabulary.number_tokens(lines, "reference")  # b=3, c=3
+    vocab = vocabulary.number_tokens(lines, "collide")  # b=3, c=3
     encoded = spark.createDataFrame([(1, [9, 3, 2]), (2, [3, 3, 2])], "id int, token_ids array<bigint>")
     rows = wordpiece.decode(encoded, vocab, ["id"]).collect()
-    assert [(r.id, r.first) for r in rows] == [(2, ["c"])]
+    assert sorted((r.id, r.first) for r in rows) == [(1, None), (2, ["c"])]
 
 
 def test_vocabulary_file(spark, tmp_path):

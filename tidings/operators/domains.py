@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidings.functions import urls
+from tidings.operators.joins import lookup_join
 from tidings.session import local_table
 
 # Suffixes used when no rule file is given.
 COMMON_SUFFIXES = (
     "com", "net", "org", "info", "edu", "gov", "int", "eu", "de", "fr", "es", "it", "pl", "ua",
-    "by", "kz", "ru", "su", "рф", "com.ru", "msk.ru", "spb.ru", "uk", "co.uk", "org.uk",
+    "by", "kz", "ru", "su", "рф", "xn--p1ai", "com.ru", "msk.ru", "spb.ru", "uk", "co.uk", "org.uk",
     "ac.uk", "gov.uk", "jp", "co.jp", "cn", "com.cn", "test",
 )
 
@@ -31,13 +34,27 @@ class SuffixRules(NamedTuple):
     small: bool
 
 
+@F.arrow_udf(T.StringType())
+def _ascii_form(names: pa.Array) -> pa.Array:
+    """The ASCII form of a domain name, as links carry it; a name that has none stays."""
+
+    def one(name: str) -> str:
+        try:
+            return name.encode("idna").decode()
+        except UnicodeError:
+            return name
+
+    return pa.array([None if n is None else one(n) for n in names.to_pylist()], pa.string())
+
+
 def _parse(lines: DataFrame) -> DataFrame:
     line = F.regexp_extract("value", r"^\s*(\S+)", 1)
     rules = lines.select(F.lower(line).alias("rule")).filter(
         (F.col("rule") != "") & ~F.startswith("rule", F.lit("//"))
     )
+    base = F.regexp_replace("rule", r"^(?:!|\*\.)", "")
     based = rules.select(
-        F.regexp_replace("rule", r"^(?:!|\*\.)", "").alias("base"),
+        F.explode(F.array_distinct(F.array(base, _ascii_form(base)))).alias("base"),
         F.startswith("rule", F.lit("!")).alias("exception"),
         F.startswith("rule", F.lit("*.")).alias("wildcard"),
     )
@@ -80,8 +97,12 @@ def _matched(df: DataFrame, rules: SuffixRules, url_col: str, tag: str) -> DataF
         rule = rules.table.filter(F.col("labels") == count).select(
             F.col("base").alias("_base"), *[F.col(c).alias(f"_{c}{tag}{count}") for c in names]
         )
-        rule = F.broadcast(rule) if rules.small else rule
-        out = out.join(rule, F.substring_index(host, ".", -count) == F.col("_base"), "left").drop("_base")
+        if rules.small:
+            out = out.join(F.broadcast(rule), F.substring_index(host, ".", -count) == F.col("_base"), "left").drop("_base")
+        else:
+            # The top label alone is a hot key, so both sides are salted.
+            keyed = out.withColumn("_base", F.substring_index(host, ".", -count))
+            out = lookup_join(keyed, rule, "_base", broadcast_bytes=-1).drop("_base")
         plain, wildcard, exception = [F.col(f"_{c}{tag}{count}") for c in names]
         # An exception rule wins and stands for one label less; else the longest match.
         size = (
@@ -92,7 +113,9 @@ def _matched(df: DataFrame, rules: SuffixRules, url_col: str, tag: str) -> DataF
             .otherwise(size)
         )
     is_ip = F.regexp_like(host, F.lit(urls.ADDRESS_PATTERN))
-    return out.withColumn(f"_size{tag}", F.when(is_ip, F.lit(-1)).otherwise(F.abs(size)))
+    # Without a rule the last label is the suffix, as the rule set's standard says.
+    found = F.when((size == 0) & (labels > 1), F.lit(1)).otherwise(F.abs(size))
+    return out.withColumn(f"_size{tag}", F.when(is_ip, F.lit(-1)).otherwise(found))
 
 
 def _last_labels(host: Column, count: Column) -> Column:
@@ -108,11 +131,12 @@ def _registered(tag: str) -> Column:
 def with_registered_domain(df: DataFrame, rules: SuffixRules, url_col: str = "url") -> DataFrame:
     """Add ``domain`` and ``suffix`` of the URL.
 
-    Without a known suffix the last label, or the whole numeric address, is the domain; a host
-    that is itself a suffix has an empty domain.
+    Without a known rule the last label is the suffix. A host of one label, or a numeric address, is
+    the domain itself; a host that is a suffix by a rule has an empty domain.
     """
     out = _matched(df, rules, url_col, "")
-    host, size = F.col("_host"), F.col("_size")
+    host = F.col("_host")
+    size = F.col("_size")
     suffix = F.when(size > 0, _last_labels(host, size)).otherwise("")
     domain = F.when(size <= 0, _registered("")).when(host == suffix, "").otherwise(
         F.substring_index(_registered(""), ".", 1)

@@ -1,8 +1,13 @@
-"""Word-piece tokens of a corpus by joins with a vocabulary table."""
+"""Word-piece tokens of a corpus, with a vocabulary that travels to the tasks or is joined.
+
+A vocabulary of up to ``SHIPPED_TOKENS`` tokens goes to every task once, and an Arrow function walks
+the distinct words of each batch in place: no word leaves its text. A larger one is joined.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import unicodedata
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -22,6 +27,12 @@ PAD_ID = 0
 
 ID_BITS = 40  # room for a token id next to a length in one number
 STEPS = "array<struct<start:int,best:bigint>>"
+SHIPPED_TOKENS = 500_000
+PIECE = T.StructType([T.StructField("piece", T.StringType()), T.StructField("id", T.LongType())])
+SPAN = T.StructType(
+    [T.StructField("at", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("token", T.StringType()),
+     T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
+)
 
 
 class Vocabulary(NamedTuple):
@@ -32,6 +43,7 @@ class Vocabulary(NamedTuple):
     sep_id: int | None
     unk_id: int | None
     longest: int
+    size: int
 
 
 def prepare(vocab: DataFrame) -> Vocabulary:
@@ -40,9 +52,102 @@ def prepare(vocab: DataFrame) -> Vocabulary:
     special = {
         row.token: row.id for row in table.filter(F.col("token").isin(CLS, SEP, UNK)).collect()
     }
-    longest = table.agg(F.coalesce(F.max(F.length("token")), F.lit(0))).first()[0]
+    longest, size = table.agg(F.coalesce(F.max(F.length("token")), F.lit(0)), F.count(F.lit(1))).first()
     unk = special.get(UNK)
-    return Vocabulary(table, special.get(CLS, unk), special.get(SEP, unk), unk, longest)
+    return Vocabulary(table, special.get(CLS, unk), special.get(SEP, unk), unk, longest, size)
+
+
+class _Speller:
+    """The longest vocabulary prefix at each step of a word, on the side of a task."""
+
+    def __init__(self, ids: dict[str, int], longest: int, unknown: int | None):
+        self.ids, self.longest, self.unknown = ids, longest, unknown
+
+    def pieces(self, word: str) -> list[tuple[str, int | None, int, int]]:
+        """``(piece, id, start, length)`` of a normalised word, in order."""
+        out, start, ids = [], 0, self.ids
+        while start < len(word):
+            mark = CONTINUATION if start else ""
+            for size in range(min(self.longest, len(word) - start), 0, -1):
+                piece = mark + word[start:start + size]
+                if piece in ids:
+                    out.append((piece, ids[piece], start, size))
+                    break
+            else:
+                size = 1
+                out.append((mark + word[start], self.unknown, start, 1))
+            start += size
+        return out
+
+
+def _shipped(vocab: Vocabulary):
+    """The vocabulary as a broadcast speller; its size was counted."""
+    rows = vocab.table.toArrow()
+    ids = dict(zip(rows.column("token").to_pylist(), rows.column("id").to_pylist()))
+    return vocab.table.sparkSession.sparkContext.broadcast(_Speller(ids, vocab.longest, vocab.unk_id))
+
+
+def _piece_function(vocab: Vocabulary) -> Callable[[Column], Column]:
+    """A column function from a list of normalised words to the list of their pieces."""
+    shipped = _shipped(vocab)
+
+    @F.arrow_udf(T.ArrayType(PIECE))
+    def spell(words: pa.Array) -> pa.Array:
+        coded = words.flatten().dictionary_encode()
+        found = [shipped.value.pieces(w) for w in coded.dictionary.to_pylist()]
+        counts = np.array([len(f) for f in found], np.int64)
+        texts = pa.array([p[0] for f in found for p in f], pa.string())
+        ids = pa.array([p[1] for f in found for p in f], pa.int64())
+        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # Each occurrence takes the run of pieces of its word.
+        lengths = counts[index] if len(index) else np.zeros(0, np.int64)
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        first = np.concatenate([[0], np.cumsum(counts)])[:-1]
+        taken = pa.array(np.arange(before[-1]) + np.repeat(first[index] - before[:-1], lengths) if len(index) else np.zeros(0, np.int64))
+        offsets = before[words.offsets.to_numpy() - words.offsets[0].as_py()].astype(np.int32)
+        structs = pa.StructArray.from_arrays([texts.take(taken), ids.take(taken)], names=["piece", "id"])
+        return pa.ListArray.from_arrays(pa.array(offsets), structs)
+
+    return spell
+
+
+def _normal(raw: str, cased: bool) -> str:
+    """The normal form of ``unicode.normal_word``, on the side of a task."""
+    if not cased:
+        raw = "".join(c for c in unicodedata.normalize("NFD", raw) if unicodedata.category(c) != "Mn").lower()
+    return "".join(c for c in raw if c != "\ufffd" and (c in "\n\r\t" or unicodedata.category(c) not in ("Cc", "Cf")))
+
+
+def _span_function(vocab: Vocabulary, cased: bool) -> Callable[[Column], Column]:
+    """A column function from a text's chunks (spaces and one word each) to the spans of its pieces."""
+    shipped = _shipped(vocab)
+
+    def of_chunk(chunk: str) -> list[tuple[int, int, str, int, int]]:
+        """``(part, length of spaces, token, begin, end)``, positions from the start of the chunk."""
+        skip = 0
+        while skip < len(chunk) and (chunk[skip] in " \n\r\t\u2028\u2029" or unicodedata.category(chunk[skip]) == "Zs"):
+            skip += 1
+        raw = chunk[skip:]
+        # Position in the raw word of each character of the normal form.
+        origin = range(len(raw)) if raw.isascii() and raw.isprintable() else [i for i, c in enumerate(raw) for _ in _normal(c, cased)]
+        return [(part, piece, skip + origin[start], skip + origin[start + size - 1] + 1)
+                for part, (piece, _, start, size) in enumerate(shipped.value.pieces(_normal(raw, cased)))]
+
+    @F.arrow_udf(T.ArrayType(SPAN))
+    def spans(chunks: pa.Array) -> pa.Array:
+        known: dict[str, list] = {}
+        out = []
+        for text in chunks.to_pylist():
+            place, rows = 0, []
+            for at, chunk in enumerate(text or []):
+                if chunk not in known:
+                    known[chunk] = of_chunk(chunk)
+                rows += [{"at": at, "part": part, "token": token, "start": place + low, "end": place + high} for part, token, low, high in known[chunk]]
+                place += len(chunk)
+            out.append(rows)
+        return pa.array(out, pa.list_(pa.struct([("at", pa.int32()), ("part", pa.int32()), ("token", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))
+
+    return spans
 
 
 def split_words(words: DataFrame, vocab: Vocabulary, cased: bool = False) -> DataFrame:
@@ -107,9 +212,20 @@ def _with_pieces(tokens: DataFrame, vocab: Vocabulary, cased: bool) -> DataFrame
     return lookup_join(tokens, pieces, "raw")
 
 
-def word_tokens(texts: DataFrame, id_cols: Sequence[str], text_col: str, cased: bool = False) -> DataFrame:
+def _first_words(words: Column, cased: bool, most: int | None) -> Column:
+    """The first ``most`` words that have a normal form: each has one piece at least."""
+    if most is None:
+        return words
+    shown = F.filter(words, lambda raw: unicode.normal_word(raw, cased) != "")
+    # Words without a normal form are rare; only a text that has more words than room pays for the test.
+    return F.when(F.size(words) <= most, words).otherwise(F.slice(shown, 1, most))
+
+
+def word_tokens(
+    texts: DataFrame, id_cols: Sequence[str], text_col: str, cased: bool = False, most: int | None = None
+) -> DataFrame:
     """``(ids, at, raw)``: one row per word, one with NULL for a text without words."""
-    words = unicode.raw_words(F.col(text_col), cased)
+    words = _first_words(unicode.raw_words(F.col(text_col), cased), cased, most)
     return texts.select(*id_cols, F.posexplode_outer(words).alias("at", "raw"))
 
 
@@ -119,14 +235,24 @@ def piece_lists(
     id_cols: Sequence[str],
     text_cols: Sequence[str] = ("text",),
     cased: bool = False,
+    most: int | None = None,
 ) -> DataFrame:
-    """``(ids, pieces0[, pieces1])``: the pieces of each text column in order.
+    """``(ids, pieces0[, pieces1])``: the pieces of each text column in order, of ``most`` words at most.
 
-    Words are spelled once each; the corpus meets the result by a join. The last grouping is
-    by text, and a text's words leave the map side already gathered.
+    With a vocabulary that travels, each text is spelled where it is. Otherwise words are spelled
+    once each and the corpus meets the result by a join; the last grouping is by text, and a
+    text's words leave the map side already gathered.
     """
+    if vocab.size <= SHIPPED_TOKENS:
+        spell = _piece_function(vocab)
+
+        def spelled_here(column: str) -> Column:
+            words = unicode.pretokens(F.coalesce(F.col(column), F.lit("")), cased)
+            return spell(words if most is None else F.slice(words, 1, most))
+
+        return texts.select(*id_cols, *[spelled_here(c).alias(f"pieces{side}") for side, c in enumerate(text_cols)])
     sides = [
-        word_tokens(texts, id_cols, column, cased).withColumn("side", F.lit(side))
+        word_tokens(texts, id_cols, column, cased, most).withColumn("side", F.lit(side))
         for side, column in enumerate(text_cols)
     ]
     tokens = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
@@ -175,7 +301,9 @@ def encode(
     columns = [first] if second is None else [first, second]
     if max_len is not None and max_len < len(columns) + 1:
         raise ValueError("max_len leaves no room for the special tokens")
-    lists = piece_lists(texts, vocab, id_cols, columns, cased)
+    # Words beyond the room cannot leave a piece in the result.
+    room = None if max_len is None else max_len - 1 - len(columns)
+    lists = piece_lists(texts, vocab, id_cols, columns, cased, room)
 
     def shortened(pieces: list[Column]) -> list[Column]:
         if max_len is None:
@@ -218,13 +346,14 @@ def decode(encoded: DataFrame, vocab: DataFrame, id_cols: Sequence[str], ids_col
 
     The first list ends at the first separator; a second one ends before the last token ahead of
     the padding. Of tokens that share an id the last in the vocabulary counts; ``vocab`` needs a
-    ``line`` column for that. A list without a separator, or with an unknown id, has no decoding.
+    ``line`` column for that. A list that is empty, without a separator or with an unknown id has no
+    decoding: its row stays, with NULL.
     """
     sep = vocab.filter(F.col("token") == SEP).select("id").first()
     if sep is None:
         raise ValueError("the vocabulary has no separator token")
     inverse = vocab.groupBy(F.col("id").cast("bigint").alias("_id")).agg(F.max_by("token", "line").alias("_token"))
-    rows = encoded.select(*id_cols, F.posexplode(ids_col).alias("_at", "_id"))
+    rows = encoded.select(*id_cols, F.posexplode_outer(ids_col).alias("_at", "_id"))
     named = lookup_join(rows, inverse, "_id")
     lists = named.groupBy(*id_cols).agg(
         F.sort_array(F.collect_list(F.struct("_at", "_token"))).getField("_token").alias("_tokens"),
@@ -239,10 +368,11 @@ def decode(encoded: DataFrame, vocab: DataFrame, id_cols: Sequence[str], ids_col
         return F.slice("_tokens", low + 1, F.greatest(high - low, F.lit(0)))
 
     sep_at, stop = F.col("_sep"), F.col("_stop")
-    return lists.filter(F.col("_known") & sep_at.isNotNull()).select(
+    valid = F.col("_known") & sep_at.isNotNull()
+    return lists.select(
         *id_cols,
-        between(F.lit(1), sep_at).alias("first"),
-        F.when(sep_at < stop - 1, between(sep_at + 1, stop - 1)).alias("second"),
+        F.when(valid, between(F.lit(1), sep_at)).alias("first"),
+        F.when(valid & (sep_at < stop - 1), between(sep_at + 1, stop - 1)).alias("second"),
     )
 
 
@@ -277,6 +407,10 @@ def token_spans(
     cased: bool = False,
 ) -> DataFrame:
     """``(ids, at, part, token, start, end)``: word pieces with their place in the text."""
+    if vocab.size <= SHIPPED_TOKENS:
+        chunks = unicode.raw_chunks(F.col(text_col), cased)
+        found = texts.select(*id_cols, F.explode(_span_function(vocab, cased)(chunks)).alias("_span"))
+        return found.select(*id_cols, "_span.*")
     words = word_spans(texts, id_cols, text_col, cased)
     pieces = _with_pieces(words, vocab, cased).select(
         *id_cols, "at", "raw", "start", F.posexplode("pieces").alias("part", "piece")

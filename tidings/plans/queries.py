@@ -18,7 +18,7 @@ from tidings.operators import embed, fetch, gap, kmeans, noise, partition, repor
 from tidings.operators.domains import suffix_rules, with_registered_domain
 from tidings.plans.crawl import crawl
 from tidings.plans.digest import run_digest
-from tidings.session import local_table, scratch_path, spread
+from tidings.session import cut_lineage, drop_scratch, local_table, scratch_path, spread
 from tidings.sources import sinks, vocabulary
 from tidings.sources.captures import read_captures
 from tidings.sources.seeds import as_seeds
@@ -160,7 +160,7 @@ def _document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vocab_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the corpus as a vocabulary line, repeats and all."""
     lines = _document_words(spark, sf_dir).select(F.struct("doc_id", "at").alias("line"), "token")
-    return vocabulary.number_tokens(lines, "reference").select("token", "id")
+    return vocabulary.number_tokens(lines, "collide").select("token", "id")
 
 
 def vocab_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,14 +399,15 @@ def save_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
         base,
     )
-    counts = [
-        sinks.read_table(spark, base, name).groupBy("timeframe").agg(
-            F.count(F.lit(1)).alias("pages"), F.sum(F.size("items")).alias("items")
-        ).withColumn("table_name", F.lit(name))
+    listed = [
+        sinks.read_table(spark, base, name).select(
+            "timeframe", F.lit(name).alias("table_name"), "url", F.array_join("items", "|").alias("items")
+        )
         for name in sinks.TABLES
     ]
-    out = counts[0].unionByName(counts[1]).unionByName(counts[2])
-    return out.select("timeframe", "table_name", "pages", "items")
+    out = cut_lineage(listed[0].unionByName(listed[1]).unionByName(listed[2]))
+    drop_scratch(spark, base)
+    return out
 
 
 def stream_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,9 +425,11 @@ def stream_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     timeframes.run_available(arrivals, "ts", base, {"summary": summarise}, PERIOD)
-    return sinks.read_table(spark, base, "summary").select(
-        "timeframe", "n", "users", F.round("total", 4).alias("total")
+    out = cut_lineage(
+        sinks.read_table(spark, base, "summary").select("timeframe", "n", "users", F.round("total", 4).alias("total"))
     )
+    drop_scratch(spark, base)
+    return out
 
 
 class _AnchorHandler:

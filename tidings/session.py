@@ -23,6 +23,7 @@ def build_session(master: str | None = None, app_name: str = "tidings", **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -62,6 +63,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on a table with fewer splits than cores; larger tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -25,12 +25,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def number_tokens(lines: DataFrame, duplicates: str = "reject") -> DataFrame:
     """``(token, id, line)`` for ``(line, token)``; ``line`` is the token's first line.
 
-    ``reject``: tokens must be unique and are numbered in line order. ``reference``: a repeated
+    ``reject``: tokens must be unique and are numbered in line order. ``collide``: a repeated
     token takes the number of different tokens read so far, which the next new token then takes
     too; so an id is the number of tokens first seen before the token's last line.
     """
-    if duplicates not in ("reject", "reference"):
-        raise ValueError("duplicates must be 'reject' or 'reference'")
+    if duplicates not in ("reject", "collide"):
+        raise ValueError("duplicates must be 'reject' or 'collide'")
     # Stored once: the checks and the numbering below read it several times.
     seen = cut_lineage(
         lines.groupBy("token").agg(

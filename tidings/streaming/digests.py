@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions import html, text
 from tidings.operators import embed, fetch, wordpiece
-from tidings.plans.digest import run_digest
+from tidings.plans.digest import DIGEST_SCHEMA, run_digest
 from tidings.session import local_table
 from tidings.sources import sinks
 from tidings.streaming.timeframes import Recompute
@@ -34,6 +34,8 @@ def digests_per_timeframe(landed: DataFrame, digest_of: DigestOf) -> DataFrame:
     spark = landed.sparkSession
     labels = [r.timeframe for r in landed.select("timeframe").distinct().orderBy("timeframe").collect()]
     every = local_table(spark, [(label,) for label in labels], "timeframe string")
+    if not labels:
+        return every.join(local_table(spark, [], DIGEST_SCHEMA), "timeframe", "left")
     found = [
         digest_of(landed.filter(F.col("timeframe") == label).drop("timeframe"), label) for label in labels
     ]

@@ -37,14 +37,23 @@ def stream_writer(
     runs again replaces itself. Then every timeframe it touched is computed from all that landed
     for it, and its partition of each result table is replaced: late rows change a timeframe, and
     a repeated batch changes nothing. Each function maps landed rows to rows with ``timeframe``.
+    Rows without a time belong to no timeframe; they are kept below ``undated/``, by batch.
     """
     landed_path = f"{base_path.rstrip('/')}/landed"
+    undated_path = f"{base_path.rstrip('/')}/undated"
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        landing = with_timeframe(batch, ts_col, period).withColumn("batch_id", F.lit(batch_id))
+        numbered = batch.withColumn("batch_id", F.lit(batch_id))
+        undated = numbered.filter(F.col(ts_col).isNull())
         (
-            landing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            undated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(undated_path)
+        )
+        landing = with_timeframe(numbered.filter(F.col(ts_col).isNotNull()), ts_col, period)
+        (
+            # One task per timeframe, more only where it is large: few files in each folder.
+            landing.hint("rebalance", "timeframe").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("timeframe", "batch_id").parquet(landed_path)
         )
         landed = spark.read.schema(landing.schema).parquet(landed_path)
