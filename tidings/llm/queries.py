@@ -1,4 +1,4 @@
-"""The registered queries of this package and their SQL."""
+"""The registered queries of this package; their SQL is in ``oracles``."""
 
 from __future__ import annotations
 
@@ -22,7 +22,3 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_similarity": sketchjoin.op9_similarity,
         "op10_nearest": nearest.op10_nearest,
     }
-
-
-def all_sql() -> dict[str, str]:
-    return {}

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm.common import table
-from tidings.session import cut_lineage, scratch_path
+from tidings.session import cut_lineage, drop_scratch, scratch_path
 
 DATA_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdx"
 # Fixed values of the ZIP format: signatures and the marker "see ZIP64".
@@ -266,12 +266,6 @@ def read_records(ranges: DataFrame) -> DataFrame:
     return ranges.mapInArrow(run, RECORDS)
 
 
-def drop_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a scratch folder once nothing reads it any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Write all pages (page_id, url, html) to packages and read every record back."""
     spark = pages.sparkSession
@@ -281,7 +275,7 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     ranges = locate_ranges(manifest)
     tasks = spark.conf.get("spark.sql.shuffle.partitions")
     records = cut_lineage(read_records(ranges.repartition(int(tasks), "path", "start")))
-    drop_folder(spark, folder)
+    drop_scratch(spark, folder)
     return records
 
 
