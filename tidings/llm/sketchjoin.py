@@ -29,22 +29,25 @@ whole. Sets are compared by 64-bit hashes of their shingles.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.llm.common import table
 from tidings.llm.components import components
-from tidings.session import cut_lineage, scratch_path
+from tidings.session import cut_lineage, drop_scratch, scratch_path
 
 SHINGLE = 5
 CACHE_WORDS = 600_000
 TILE_ROWS = 1024  # rows of a part that are compared at a time
 FILTER_BITS = 1 << 22
+TOLD_PAIRS = 1_000_000
 # Odd constants of the 64-bit mixing function.
 MIX_A, MIX_B, GOLDEN = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,8 +87,9 @@ def band_of(size: int) -> int:
 
 
 def parts_of(band: int) -> int:
+    """As few parts as leave nearly every set of the band enough that are not empty: more elements a part."""
     widest = 2 * ((2 << band) - 1) // 9
-    return widest + 1 + -(-widest * 35 // 100)
+    return widest + 1 + math.ceil(0.05 * widest + 0.6 * math.sqrt(widest))
 
 
 def shown_bands(size: int) -> list[tuple[int, int]]:
@@ -150,8 +154,8 @@ def fingerprint(found: np.ndarray) -> tuple[int, int]:
 
 def sketch_documents(docs: DataFrame, folder: str) -> DataFrame:
     """Store (row, doc_id, n, f1, f2, keys, sketch); keys and sketch only for the first of equal sets in a task."""
-    source = docs.select("doc_id", "text")
-    schema = source.select("doc_id").schema.add("n", "long").add("f1", "long").add("f2", "long").add("keys", T.ArrayType(T.LongType())).add("sketch", "binary")
+    source = docs.select("doc_id", "text_hash", "text")
+    schema = source.select("doc_id", "text_hash").schema.add("n", "long").add("f1", "long").add("f2", "long").add("keys", T.ArrayType(T.LongType())).add("sketch", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -178,7 +182,7 @@ def sketch_documents(docs: DataFrame, folder: str) -> DataFrame:
                     pa.array([None if a else int(o) for a, o in zip(absent.to_pylist(), offsets)], pa.int32()),
                     pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
                      pa.array([p[1] for p in prints], pa.int64()), lists, pa.array(sketches, pa.binary())], names=schema.names)
 
     source.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
@@ -187,9 +191,14 @@ def sketch_documents(docs: DataFrame, folder: str) -> DataFrame:
 
 # --- steps 2 and 3: candidates and their proof -----------------------------------------------
 
-def shared_parts(stored: DataFrame, folder: str) -> DataFrame:
-    """Store (key, row, first, other): the rows of each part that several rows show, with its two leaders."""
-    shown = stored.where(F.col("keys").isNotNull()).select("row", F.explode("keys").alias("key"))
+def shared_parts(stored: DataFrame, classes: DataFrame, folder: str) -> DataFrame:
+    """Store (key, row, first, other): the rows of each part that several rows show, with its two leaders.
+
+    Of equal sets in different tasks, a bit set lets only the first row (``rep``) through, and few others.
+    """
+    holders = stored.where(F.col("keys").isNotNull()).select("row", "keys")
+    firsts = that_may_be_in(holders, bits_of(classes.select(F.col("rep").alias("row")), "row"), "row")
+    shown = firsts.select("row", F.explode("keys").alias("key"))
     by = Window.partitionBy("key")
     led = shown.select(
         "key", "row", F.min("row").over(by).alias("first"), F.max("row").over(by).alias("last"),
@@ -206,10 +215,11 @@ def leader_pairs(shared: DataFrame) -> DataFrame:
 
 def passing(pairs: DataFrame, stored: DataFrame) -> DataFrame:
     """Pairs within the bound by size and sketch: (a, b, same), same if the sets are equal."""
-    side = lambda p: stored.where(F.col("sketch").isNotNull()).select(
-        F.col("row").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in ("n", "f1", "f2", "sketch")])
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    close = joined.where((F.least("a_n", "b_n") * 5 >= F.greatest("a_n", "b_n") * 4))
+    shown = stored.where(F.col("sketch").isNotNull())
+    side = lambda p, *names: shown.select(F.col("row").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in names])
+    sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
+    close = cut_lineage(sized.where(F.least("a_n", "b_n") * 5 >= F.greatest("a_n", "b_n") * 4))  # before sketches move
+    close = close.join(side("a", "f1", "f2", "sketch"), "a").join(side("b", "f1", "f2", "sketch"), "b")
     equal = (F.col("a_n") == F.col("b_n")) & (F.col("a_f1") == F.col("b_f1")) & (F.col("a_f2") == F.col("b_f2"))
     close = close.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch", equal.alias("same"))
 
@@ -227,14 +237,27 @@ def passing(pairs: DataFrame, stored: DataFrame) -> DataFrame:
     return close.mapInArrow(run, "a long, b long, same boolean")
 
 
-def _filter_of(rows: DataFrame) -> bytes:
-    """A bit set of FILTER_BITS bits, whatever the number of ids: no false negatives."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    bits = rows.select(F.floor(place / 8).alias("byte"), F.pow(F.lit(2), place % 8).cast("int").alias("bit")).groupBy("byte").agg(F.bit_or("bit").alias("bits"))
-    out = bytearray(FILTER_BITS // 8)
-    for row in bits.toLocalIterator():
-        out[row["byte"]] = row["bits"]
-    return bytes(out)
+def bits_of(df: DataFrame, *columns: str) -> Broadcast:
+    """A bit set of FILTER_BITS bits over the hashes of some columns: its size does not follow the rows."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)) + 1
+    pages = df.select(F.bitmap_bucket_number(place).alias("page"), F.bitmap_bit_position(place).alias("bit"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in pages.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # 4 KB for each of 128 pages
+        found = np.frombuffer(row["bits"], np.uint8)
+        out[(row["page"] - 1) * len(found):row["page"] * len(found)] = found
+    return df.sparkSession.sparkContext.broadcast(out.tobytes())
+
+
+def that_may_be_in(df: DataFrame, bits: Broadcast, *columns: str) -> DataFrame:
+    """The rows whose columns are in the bit set: all that should be, and few others while the set is not full."""
+    placed = df.withColumn("place", F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(mask[batch.column("place").to_numpy()])).drop_columns(["place"])
+
+    return placed.mapInArrow(run, df.schema)
 
 
 def verified(pairs: DataFrame, stored: DataFrame, docs: DataFrame) -> DataFrame:
@@ -246,18 +269,9 @@ def verified(pairs: DataFrame, stored: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = cut_lineage(pairs)
     rows = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
     wanted = cut_lineage(stored.select("row", "doc_id", "n", "f1", "f2").join(rows, "row"))
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").astype(bool)
-        for batch in batches:
-            kept = batch.filter(pa.array(mask[batch.column("place").to_numpy()]))
-            yield kept.drop_columns(["place"])
-
     # The scan cannot see row numbers: rows are found by id, and by their set where an id is repeated.
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("place")
-    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), place)
-    texts = source.mapInArrow(pick, source.drop("place").schema)
+    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = that_may_be_in(source, bits_of(wanted, "doc_id"), "doc_id")
     found = texts.alias("t").join(wanted.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))).select("row", "n", "f1", "f2", "text")
 
     def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,9 +311,14 @@ def open_pairs(shared: DataFrame, stored: DataFrame, tested: DataFrame, labels:
     apart = tested.join(named("a"), "a", "left").join(named("b"), "b", "left").where(label("a") != label("b"))
     apart = cut_lineage(apart.select("a", "b"))
     # Parts in which a row and the first leader are apart; a part of two rows is settled by its one pair.
-    keys = shared.where("first < row").join(apart, (F.col("first") == F.col("a")) & (F.col("row") == F.col("b")), "left_semi").select("key").distinct()
-    members = shared.select("key", "row").join(keys, "key", "left_semi")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 2")
+    # A bit set may let in a few settled parts more, which costs their comparison and changes nothing.
+    among = that_may_be_in(shared.where("first < row").select("key", "first", "row"), bits_of(apart, "a", "b"), "first", "row")
+    keys = cut_lineage(among.select("key").distinct())
+    members = that_may_be_in(shared.select("key", "row"), bits_of(keys, "key"), "key").join(keys, "key", "left_semi")
+    # Parts with the same rows settle the same pairs: one of them is enough.
+    mark = F.xxhash64("row")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("g"), F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark)).alias("s2"), F.min("row").alias("s3"))
+    sizes = sizes.where("g > 2").groupBy("g", "s1", "s2", "s3").agg(F.min("key").alias("key")).select("key", "g")
     info = stored.where(F.col("sketch").isNotNull()).select("row", "n", "sketch")
     info = info.join(labels, info["row"] == labels["node"], "left").select("row", "n", "sketch", F.coalesce("label", "row").alias("label"))
     # A large part is split into tiles; a row goes to the tile pairs that its own tile is in.
@@ -312,28 +331,28 @@ def open_pairs(shared: DataFrame, stored: DataFrame, tested: DataFrame, labels:
     laid = rows.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows_now = None, []
+        group, rows_now, told = None, [], set()  # pairs that this task has told already
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "mine", "row", "n", "label", "sketch"))):
                 if row[:3] != group:
-                    yield from _compare_tile(group, rows_now)
+                    yield from _compare_tile(group, rows_now, told)
                     group, rows_now = row[:3], []
                 rows_now.append(row[3:])
-        yield from _compare_tile(group, rows_now)
+        yield from _compare_tile(group, rows_now, told)
 
     found = laid.mapInArrow(run, "a long, b long").distinct()
     return found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def _compare_tile(group: tuple | None, members: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Sketch distances inside one tile (i = j) or between two tiles of a part."""
+def _compare_tile(group: tuple | None, members: list[tuple], told: set) -> Iterator[pa.RecordBatch]:
+    """Sketch distances inside one tile (i = j) or between two tiles of a part; a pair is told once a task."""
     if not members or len({m[3] for m in members}) < 2:
         return
     mine, row, n, label = (np.array([m[k] for m in members], np.int64) for k in range(4))
     widths = np.array([len(m[4]) for m in members])
     narrow = int(widths.min())
     flat = np.stack([folded(np.frombuffer(m[4], np.uint8), narrow) for m in members])
-    a_out, b_out = [], []
+    pairs: set[tuple[int, int]] = set()
     for x in range(len(members) - 1):
         others = np.arange(x + 1, len(members))
         others = others[label[others] != label[x]]
@@ -342,19 +361,30 @@ def _compare_tile(group: tuple | None, members: list[tuple]) -> Iterator[pa.Reco
         if len(others):
             distance = np.bitwise_count(flat[others] ^ flat[x]).sum(axis=1, dtype=np.int64)
             hits = others[may_link(n[others], n[x], distance)]
-            a_out += np.minimum(row[hits], row[x]).tolist()
-            b_out += np.maximum(row[hits], row[x]).tolist()
-    if a_out:
-        yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
+            pairs.update(zip(np.minimum(row[hits], row[x]).tolist(), np.maximum(row[hits], row[x]).tolist()))
+    new = sorted(pairs - told)
+    if len(told) < TOLD_PAIRS:  # beyond it pairs may repeat; they are made distinct afterwards
+        told.update(new)
+    if new:
+        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()), pa.array([p[1] for p in new], pa.int64())], names=["a", "b"])
 
 
 # --- the whole -------------------------------------------------------------------------------
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, n_shingles, component_id, keeper): keeper marks one row of each component."""
+def similar_documents(docs: DataFrame, text_hash: Column | None = None) -> DataFrame:
+    """(row, doc_id, text_hash, n_shingles, component_id, keeper): keeper marks one row of each component.
+
+    ``text_hash`` is carried along, for callers that look rows up again (else NULL).
+    """
     spark = docs.sparkSession
-    stored = sketch_documents(docs, scratch_path(spark, "sketches"))
-    shared = shared_parts(stored, scratch_path(spark, "parts"))
+    hashed = F.lit(None).cast("long") if text_hash is None else text_hash
+    docs = docs.select("doc_id", "text", hashed.alias("text_hash"))
+    sketches, parts = scratch_path(spark, "sketches"), scratch_path(spark, "parts")
+    stored = sketch_documents(docs, sketches)
+    # One class for each set; its first row stands for it. Empty sets are classes of their own.
+    sets = ["n", "f1", "f2"]
+    classes = cut_lineage(stored.where("n > 0").groupBy(*sets).agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.min_by("row", "doc_id").alias("least_row")))
+    shared = shared_parts(stored, classes, parts)
     tested = cut_lineage(leader_pairs(shared))
     likely = cut_lineage(passing(tested, stored))
     equal = likely.where("same").select("a", "b")
@@ -365,18 +395,34 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         linked = linked.unionByName(verified(more, stored, docs))
         labels = cut_lineage(components(linked.select(F.col("a").alias("u"), F.col("b").alias("v"))))
 
-    # One class for each set; its first row stands for it. Empty sets are classes of their own.
-    sets = ["n", "f1", "f2"]
-    classes = cut_lineage(stored.where("n > 0").groupBy(*sets).agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.min_by("row", "doc_id").alias("least_row")))
     classes = classes.join(labels, classes["rep"] == labels["node"], "left").withColumn("label", F.coalesce("label", "rep"))
     classes = cut_lineage(classes.select(*sets, "label", "least", F.coalesce("least_row", "rep").alias("first_row")))
     # Rows of equal least ids: the smallest row keeps.
     groups = cut_lineage(classes.groupBy("label").agg(F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("first_row"))).alias("best")))
     named = cut_lineage(classes.join(groups, "label").select(*sets, F.col("best.least").alias("component_id"), F.col("best.first_row").alias("keeper_row")))
-    rows = stored.where("n > 0").select("row", "doc_id", *sets).join(named, sets)
-    full = rows.select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("keeper_row")).alias("keeper"))
-    empty = stored.where("n = 0").select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keeper"))
-    return full.unionByName(empty)
+    rows = stored.where("n > 0").select("row", "doc_id", "text_hash", *sets).join(named, sets)
+    full = rows.select("row", "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("keeper_row")).alias("keeper"))
+    empty = stored.where("n = 0").select("row", "doc_id", "text_hash", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keeper"))
+    out = cut_lineage(full.unionByName(empty))
+    drop_scratch(spark, sketches)
+    drop_scratch(spark, parts)
+    return out
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one row of each component, the one with its smallest doc_id; all columns kept.
+
+    Only the rows that go, and those whose doc_id and text occur more than once, are looked up; a row
+    travels as one struct, so no column name can clash with those used here.
+    """
+    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    found = similar_documents(docs.select("doc_id", "text"), F.xxhash64("text"))
+    marks = found.where("n_shingles > 0").groupBy("doc_id", "text_hash").agg(F.max("keeper").alias("stays"), F.count(F.lit(1)).alias("rows"))
+    marks = cut_lineage(marks.where(~F.col("stays") | (F.col("rows") > 1)))
+    joined = keyed.join(marks, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("hash").eqNullSafe(F.col("text_hash")), "left")
+    whole = joined.where(F.col("stays").isNull()).select("doc.*")
+    again = joined.where(F.col("stays") & (F.col("rows") > 1)).dropDuplicates(["id", "hash"]).select("doc.*")
+    return whole.unionByName(again)
 
 
 def op9_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
