@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidings.functions import html, text, timeframe, unicode, vectors
+from tidings.functions import text, timeframe, unicode, vectors
 from tidings.operators import embed, fetch, gap, kmeans, noise, partition, report, summary, wordpiece
 from tidings.operators.domains import suffix_rules, with_registered_domain
 from tidings.plans.crawl import crawl
