@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SPACE_SET = " \t\n\x0b\x0c\r"  # \x20 and \x09-\x0D
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
