@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidings.llm.common import remainder, table
 
 WINDOW = 48  # bytes
-CACHE_WORDS = 600_000  # distinct words that a task remembers
+CACHE_WORDS = 200_000  # distinct words that a task remembers
 UNKNOWN = "und"
 LETTER_BYTE = np.array([bytes([b]).isalpha() or b >= 128 for b in range(256)])
 FOLDS, HELD_OUT = 4, 2
@@ -269,8 +269,8 @@ def keep_identified(docs: DataFrame, model: Model | None, least: float = 0.3) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
                 found = scorer.score(pc.struct_field(part.column("doc"), "text").to_pylist())
                 yield part.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found]))
 

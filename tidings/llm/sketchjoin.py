@@ -44,7 +44,7 @@ from tidings.llm.components import components
 from tidings.session import cut_lineage, drop_scratch, scratch_path
 
 SHINGLE = 5
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 TILE_ROWS = 1024  # rows of a part that are compared at a time
 FILTER_BITS = 1 << 22
 TOLD_PAIRS = 1_000_000
