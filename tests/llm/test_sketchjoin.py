@@ -86,6 +86,26 @@ def test_odd_documents(spark, tmp_path):
     assert sketchjoin.op9_similarity(spark, written(odd_documents(spark).limit(0), tmp_path)).collect() == []
 
 
+@pytest.mark.parametrize("shared", [7, None])
+@pytest.mark.parametrize("first", [True, False])
+def test_id_shared_with_an_unrelated_text(spark, shared, first):
+    """The text of a near copy is its own, whichever text of its id the scan meets first."""
+    text = prose("en", 80, "near").split()
+    near = " ".join(text[:-1] + ["changed"])
+    held = [(shared, " ".join(text), "en", "s"), (shared, prose("de", 80, "far"), "de", "s")]
+    rows = (held if first else held[::-1]) + [(9, near, "en", "s")]
+    docs = odd_documents(spark, rows).coalesce(1).sortWithinPartitions("lang", ascending=not first)
+    found = sketchjoin.similar_documents(docs).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == expected(rows)
+
+
+def test_many_rows_without_id(spark):
+    """Near copies and exact copies without id, among unrelated texts without id."""
+    rows = [(None, *row[1:]) for row in near_copies(5, 25)] + [(None, prose("fr", 50, k), "fr", "s") for k in range(150)]
+    rows += rows[:5] * 20 + [(k, *rows[k][1:]) for k in range(0, 100, 9)]
+    assert result(spark, rows) == expected(rows)
+
+
 def test_linked_sets_show_an_equal_key():
     """The pigeonhole holds for pairs at the threshold, for sets of all sizes."""
     rng = np.random.default_rng(0)

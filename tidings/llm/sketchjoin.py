@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -248,14 +248,24 @@ def bits_of(df: DataFrame, *columns: str) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast(out.tobytes())
 
 
-def that_may_be_in(df: DataFrame, bits: Broadcast, *columns: str) -> DataFrame:
-    """The rows whose columns are in the bit set: all that should be, and few others while the set is not full."""
+def that_may_be_in(df: DataFrame, bits: Broadcast, *columns: str, once: bool = False) -> DataFrame:
+    """The rows whose columns are in the bit set: all that should be, and few others while the set is not full.
+
+    ``once``: of rows with equal columns a task gives one, so that many copies of a text without id stay where they are.
+    """
     placed = df.withColumn("place", F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").astype(bool)
+        mask, seen = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").astype(bool), set()
         for batch in batches:
-            yield batch.filter(pa.array(mask[batch.column("place").to_numpy()])).drop_columns(["place"])
+            batch = batch.filter(pa.array(mask[batch.column("place").to_numpy()])).drop_columns(["place"])
+            if once:
+                new = []
+                for name in zip(*(batch.column(c).to_pylist() for c in columns)):
+                    new.append(name not in seen)
+                    seen.add(name)
+                batch = batch.filter(pa.array(new, pa.bool_()))
+            yield batch
 
     return placed.mapInArrow(run, df.schema)
 
@@ -264,28 +274,17 @@ def verified(pairs: DataFrame, stored: DataFrame, docs: DataFrame) -> DataFrame:
     """The linked ones among the pairs (a, b), by their whole sets.
 
     Only documents that may be in a pair leave the scan (a bit set of fixed size tells); texts meet
-    their pairs by row.
+    their pairs by row. Rows of equal id and text share the one text that is kept of them.
     """
     pairs = cut_lineage(pairs)
     rows = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-    wanted = cut_lineage(stored.select("row", "doc_id", "n", "f1", "f2").join(rows, "row"))
-    # The scan cannot see row numbers: rows are found by id, and by their set where an id is repeated.
-    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = that_may_be_in(source, bits_of(wanted, "doc_id"), "doc_id")
-    found = texts.alias("t").join(wanted.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))).select("row", "n", "f1", "f2", "text")
-
-    def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            kept = []
-            for n, f1, f2, text in zip(*(batch.column(c).to_pylist() for c in ("n", "f1", "f2", "text"))):
-                one = shingle_set(text, hashes)
-                kept.append(len(one) == n and fingerprint(one) == (f1, f2))
-            yield batch.select(["row", "text"]).filter(pa.array(kept))
-
-    repeated = wanted.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    texts = found.mapInArrow(prove, "row long, text string") if repeated else found.select("row", "text")
-    texts = texts.groupBy("row").agg(F.first("text").alias("text")) if repeated else texts
+    wanted = cut_lineage(stored.select("row", "doc_id", "text_hash").join(rows, "row"))
+    # The scan cannot see row numbers: rows are found by id and text. Inside a struct a NULL id equals a NULL id.
+    named = ["doc_id", "text_hash"]
+    source = docs.select(*named, "text")
+    texts = that_may_be_in(source, bits_of(wanted, *named), *named, once=True)
+    texts = texts.groupBy(F.struct(*named).alias("name")).agg(F.first("text").alias("text"))
+    texts = texts.join(wanted.select(F.struct(*named).alias("name"), "row"), "name").select("row", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last, one = WordHashes(), None, None
@@ -371,14 +370,13 @@ def _compare_tile(group: tuple | None, members: list[tuple], told: set) -> Itera
 
 # --- the whole -------------------------------------------------------------------------------
 
-def similar_documents(docs: DataFrame, text_hash: Column | None = None) -> DataFrame:
+def similar_documents(docs: DataFrame) -> DataFrame:
     """(row, doc_id, text_hash, n_shingles, component_id, keeper): keeper marks one row of each component.
 
-    ``text_hash`` is carried along, for callers that look rows up again (else NULL).
+    ``text_hash`` is ``xxhash64("text")``: with doc_id it names the text of a row, here and for callers.
     """
     spark = docs.sparkSession
-    hashed = F.lit(None).cast("long") if text_hash is None else text_hash
-    docs = docs.select("doc_id", "text", hashed.alias("text_hash"))
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     sketches, parts = scratch_path(spark, "sketches"), scratch_path(spark, "parts")
     stored = sketch_documents(docs, sketches)
     # One class for each set; its first row stands for it. Empty sets are classes of their own.
@@ -416,7 +414,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     travels as one struct, so no column name can clash with those used here.
     """
     keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    found = similar_documents(docs.select("doc_id", "text"), F.xxhash64("text"))
+    found = similar_documents(docs)
     marks = found.where("n_shingles > 0").groupBy("doc_id", "text_hash").agg(F.max("keeper").alias("stays"), F.count(F.lit(1)).alias("rows"))
     marks = cut_lineage(marks.where(~F.col("stays") | (F.col("rows") > 1)))
     joined = keyed.join(marks, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("hash").eqNullSafe(F.col("text_hash")), "left")
