@@ -41,5 +41,33 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.label) AS comp
 FROM documents d JOIN reached r ON r.node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
+# crc32 of each distinct word, byte by byte, with the table of the reflected polynomial made by its rule.
+RESAMPLING = """WITH words AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM documents),
+aims AS MATERIALIZED (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
+steps AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+every AS (SELECT w, hex(w) AS h, strlen(w) AS size FROM (SELECT w FROM words UNION SELECT w FROM aims)),
+placed AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(size), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295) % 10000 AS bucket FROM every, steps),
+s AS (SELECT bucket, count(*) AS n FROM words JOIN placed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM aims JOIN placed USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM words) AS all_s, (SELECT count(*) FROM aims) AS all_t),
+gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * (all_s + 10000) / (CAST(s.n + 1 AS DOUBLE) * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), sums),
+weights AS (SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM words JOIN placed USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS fit FROM scored WHERE n_features >= 20)
+SELECT d.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN place <= 10 * fit // 100 THEN place END AS rank
+FROM scored d LEFT JOIN ranked USING (doc_id)"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_warc": WARC, "op7_kdtree": INNER_PRODUCT, "op9_similarity": SIMILARITY}
+    return {"op1_warc": WARC, "op7_kdtree": INNER_PRODUCT, "op9_similarity": SIMILARITY, "op11_resampling": RESAMPLING}

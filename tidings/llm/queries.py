@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import kdtree, langid, mixing, nearest, packing, pii, secrets, sketchjoin, toxicity, warc
+from tidings.llm import kdtree, langid, mixing, nearest, packing, pii, resampling, secrets, sketchjoin, toxicity, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,4 +21,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": packing.op8_packing,
         "op9_similarity": sketchjoin.op9_similarity,
         "op10_nearest": nearest.op10_nearest,
+        "op11_resampling": resampling.op11_resampling,
     }
