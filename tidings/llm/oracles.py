@@ -41,6 +41,24 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.label) AS comp
 FROM documents d JOIN reached r ON r.node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
+NEAR_DUPLICATES = """WITH RECURSIVE listed AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM listed),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+steps AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id AS node, doc_id AS label FROM documents UNION SELECT s.b, r.label FROM reached r JOIN steps s ON s.a = r.node)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.label) AS component_id, d.doc_id = min(r.label) AS kept
+FROM documents d JOIN reached r ON r.node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
+
 # crc32 of each distinct word, byte by byte, with the table of the reflected polynomial made by its rule.
 RESAMPLING = """WITH words AS MATERIALIZED (
   SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -70,4 +88,4 @@ FROM scored d LEFT JOIN ranked USING (doc_id)"""
 
 
 def all_sql() -> dict[str, str]:
-    return {"op1_warc": WARC, "op7_kdtree": INNER_PRODUCT, "op9_similarity": SIMILARITY, "op11_resampling": RESAMPLING}
+    return {"op1_warc": WARC, "op7_kdtree": INNER_PRODUCT, "op9_similarity": SIMILARITY, "op11_resampling": RESAMPLING, "op13_minhash": NEAR_DUPLICATES}
