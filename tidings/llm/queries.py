@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import kdtree, langid, minhash, mixing, nearest, packing, pii, resampling, secrets, sketchjoin, toxicity, warc
+from tidings.llm import alignment, kdtree, langid, minhash, mixing, nearest, packing, pii, resampling, secrets, sketchjoin, toxicity, warc
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,5 +22,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_similarity": sketchjoin.op9_similarity,
         "op10_nearest": nearest.op10_nearest,
         "op11_resampling": resampling.op11_resampling,
+        "op12_alignment": alignment.op12_alignment,
         "op13_minhash": minhash.op13_minhash,
     }
