@@ -29,6 +29,36 @@ def test_held_out_accuracy_and_scores():
     assert 0 <= model.score([tox.features("", model.lexicon)])[0] < 0.7
 
 
+PHRASES = ["You are a worthless idiot", "Shut up, you fool", "you stupid loser", "What a pathetic moron you are", "Y0u are an id1ot", "idiooot scum trash"]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return tox.train(sample(600, 7), odds=3.0)
+
+
+@pytest.mark.parametrize("length", [0, 1000, 3000, 10_000])
+def test_one_phrase_in_a_clean_text_of_any_length(model, length):
+    """Also insults and disguises that no training row holds."""
+    body = prose("en", 2 + length // 4, f"host{length}")[:length].split(" ")
+    at = len(body) // 2
+    scores = model.score([tox.features(" ".join(body[:at] + [p] + body[at:]), model.lexicon) for p in PHRASES])
+    assert (scores >= 0.7).all(), dict(zip(PHRASES, scores.round(2)))
+    assert model.score([tox.features(" ".join(body), model.lexicon)])[0] < 0.7
+
+
+def test_long_clean_texts_stay_clean(model):
+    texts = [prose(lang, n, f"long{n}") for lang in ("en", "de", "fr") for n in (5, 500, 9000)] + ["", "1234 !!! ???"]
+    assert (model.score([tox.features(t, model.lexicon) for t in texts]) < 0.7).all()
+
+
+def test_learned_words_must_be_confirmed():
+    rows = [("plorf the water", 1), ("the water house", 0)] * 20
+    chance = [("zzyzx the", 1)] * 3 + rows
+    assert tox.learn_words(rows) and set(tox.learn_words(rows)) == {"plorf"}
+    assert "zzyzx" not in tox.learn_words(chance)
+
+
 def brute_isotonic(margins, y, w):
     """The isotonic fit by the max-min formula."""
     order = np.argsort(margins, kind="stable")

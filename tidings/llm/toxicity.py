@@ -1,10 +1,12 @@
 """Toxicity: gradient-boosted trees over dense features of the whole text, calibrated by isotonic regression.
 
-The features are densities of two lexicons (a fixed list, and words learned from the labelled sample by
-their log odds), how close lexicon words stand to the second person, and rates of capitals,
-punctuation, digits, repetition and obfuscation (signs or digits in place of letters in a lexicon
-word, stretched letters). Trees are grown in numpy on histograms of the features. Scores are calibrated
-on labelled rows that the trees have not seen.
+The features are densities and counts of two lexicons (a fixed list, and words learned from the labelled
+sample by their log odds and confirmed on its other half), over the whole text and in its densest
+stretches; how close insults stand to the second person; and rates of capitals, punctuation, digits,
+repetition and obfuscation (signs or digits in place of letters in a lexicon word, stretched letters).
+Trees are grown in numpy on histograms of the features, from labelled rows and variants of them: disguised,
+shortened, addressed, and put into long clean texts. Scores are calibrated on labelled rows that the trees
+have not seen.
 
 Defined cases: a NULL text is empty; an empty text is scored like any other (its features are zeros);
 labels other than 0 and 1, and NULL labels, teach nothing; of several labels of a document the largest
@@ -14,6 +16,7 @@ the share of toxic labels (0 without labels); texts of any length are read whole
 
 from __future__ import annotations
 
+import random
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -37,10 +40,12 @@ SECOND_PERSON = "you your yours yourself youre u ur tu te toi ton ta tes vous vo
 LEET = str.maketrans("0134578@$!|", "oieastbasil")
 WORD = re.compile(r"[^\W_]+")
 DISGUISED = re.compile(r"\b(?=\w*[^\W\d_])[^\W_]*[0134578@$!|][^\W_]*[^\W\d_]+[0134578@$!|\w]*")
-STRETCHED = re.compile(r"([^\W\d_])\1\1")
+STRETCHED, STRETCHES = re.compile(r"([^\W\d_])\1\1"), re.compile(r"([^\W\d_])\1{2,}")
 NEAR = 6  # words
-FEATURES = ["insults", "learned", "distinct", "beside_you", "nearest_you", "you", "disguised", "stretched", "capitals",
-            "upper_words", "exclaims", "questions", "punctuation", "digits", "symbols", "other_scripts", "repeats", "log_words", "mean_word", "learned_max"]
+SHORT, LONG = 50, 200  # words of the windows whose densest one counts
+FEATURES = ["insults", "insult_count", "insults_short", "insults_long", "learned", "learned_short", "distinct", "beside_you", "beside_count", "nearest_you",
+            "you", "disguised", "disguised_count", "stretched", "capitals", "upper_words", "exclaims", "questions", "punctuation", "digits", "symbols",
+            "other_scripts", "repeats", "log_words", "mean_word", "learned_max"]
 
 
 def plain(text: str) -> str:
@@ -73,36 +78,61 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     raw = text.encode("utf-8", "replace")
     kinds = np.bincount(KIND[np.frombuffer(raw, np.uint8)], minlength=8)
     letters = int(kinds[1] + kinds[2])
-    low = plain(text)
-    words = WORD.findall(low)
+    words, disguised = _unmasked(plain(text), lexicon, bool(kinds[3] or kinds[7] or kinds[4]))
     n = len(words)
-    spoken = lexicon.either
-    hits = [i for i, w in enumerate(words) if w in spoken]
-    insults = sum(words[i] in lexicon.insults for i in hits)
+    either = lexicon.either
+    hits = np.array([i for i, w in enumerate(words) if w in either], np.int64)
+    sworn = np.array([words[i] in lexicon.insults for i in hits], bool)
     weights = [lexicon.learned.get(words[i], 0.0) for i in hits]
-    you = [i for i, w in enumerate(words) if w in lexicon.you] if hits else []
+    you = np.array([i for i, w in enumerate(words) if w in lexicon.you], np.int64) if len(hits) else np.zeros(0, np.int64)
     beside, nearest = 0, NEAR * 4.0
-    if hits and you:
-        places = np.array(you)
-        for i in hits:
-            k = int(np.searchsorted(places, i))
-            gap = min(abs(i - int(places[j])) for j in (k - 1, k) if 0 <= j < len(places))
-            beside += gap <= NEAR
-            nearest = min(nearest, gap)
-    disguised = 0
-    if kinds[3] or kinds[7] or kinds[4]:
-        disguised = sum(m[0].translate(LEET) in spoken for m in DISGUISED.finditer(low))
-    stretched = sum(1 for _ in STRETCHED.finditer(low))
+    if sworn.any() and len(you):
+        at = hits[sworn]
+        k = np.searchsorted(you, at)
+        gaps = np.minimum(np.abs(at - you[np.maximum(k - 1, 0)]), np.abs(at - you[np.minimum(k, len(you) - 1)]))
+        beside, nearest = int((gaps <= NEAR).sum()), min(nearest, float(gaps.min()))
+    insults, learned = int(sworn.sum()), len(hits) - int(sworn.sum())
+    stretched = sum(1 for _ in STRETCHED.finditer(text))
     repeats = sum(a == b for a, b in zip(words, words[1:]))
     return [
-        _rate(1000.0 * insults, n), _rate(1000.0 * sum(w > 0 for w in weights), n), float(len({words[i] for i in hits})),
-        _rate(1000.0 * beside, n), nearest, _rate(1000.0 * len(you), n), _rate(1000.0 * disguised, n), _rate(1000.0 * stretched, n),
+        _rate(1000.0 * insults, n), float(np.log1p(insults)), _densest(hits[sworn], SHORT), _densest(hits[sworn], LONG),
+        _rate(1000.0 * learned, n), _densest(hits[~sworn], SHORT), float(len({words[i] for i in hits[sworn]})),
+        _rate(1000.0 * beside, n), float(np.log1p(beside)), nearest, _rate(1000.0 * len(you), n),
+        _rate(1000.0 * disguised, n), float(np.log1p(disguised)), _rate(1000.0 * stretched, n),
         _rate(float(kinds[1]), letters), _rate(float(sum(w.isupper() and len(w) > 1 for w in text.split())), n) if kinds[1] > 1 else 0.0,
         _rate(1000.0 * kinds[4], len(raw)), _rate(1000.0 * kinds[5], len(raw)), _rate(float(kinds[6]), len(raw)), _rate(float(kinds[3]), len(raw)),
         _rate(float(kinds[7]), len(raw)), _rate(float(len(raw) - kinds[1:].sum()), len(raw)), _rate(float(repeats), n),
         float(np.log1p(n)), _rate(float(sum(map(len, words))), n), max(weights, default=0.0)]
 
 
+def _densest(places: np.ndarray, width: int) -> float:
+    """The most of these words in any stretch of ``width`` words."""
+    return float((np.searchsorted(places, places + width) - np.arange(len(places))).max()) if len(places) else 0.0
+
+
+def _unmasked(low: str, lexicon: Lexicon, masked: bool) -> tuple[list[str], int]:
+    """The words, those in disguise (signs for letters, stretched letters) put right, and how many insults were disguised."""
+    found = 0
+
+    def right(match: re.Match) -> str:
+        nonlocal found
+        for tried in (match[0], match[0].rstrip("!|$@")):
+            word = tried.translate(LEET)
+            if word != tried and (word in lexicon.either or word in lexicon.you):
+                found += word in lexicon.either
+                return word
+        return match[0]
+
+    if masked:
+        low = DISGUISED.sub(right, low)
+    words = WORD.findall(low)
+    if STRETCHED.search(low):
+        for i, word in enumerate(words):
+            if STRETCHED.search(word) and (short := STRETCHES.sub(r"\1", word)) in lexicon.either:
+                words[i], found = short, found + 1
+    return words, found
+
+
 # --- boosted trees ---------------------------------------------------------------------------
 
 @dataclass
@@ -214,26 +244,81 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_per_class: int) -
     return found, [counts.get(v, 0) / max(sizes[v], 1) for v in (0, 1)]
 
 
-def learn_words(sample: list[tuple[str, int]], least_docs: int = 4, most_words: int = 300) -> dict[str, float]:
-    """Words that tell toxic documents: log odds of their document frequencies, the strongest ones."""
+def _odds(sample: list[tuple[str, int]]) -> dict[str, tuple[int, float]]:
+    """Of each word its toxic documents and the log odds of its document frequencies."""
     found: list[dict[str, int]] = [{}, {}]
     sizes = [0, 0]
     for text, toxic in sample:
         sizes[toxic] += 1
         for word in set(WORD.findall(plain(text))):
             found[toxic][word] = found[toxic].get(word, 0) + 1
-    odds = {}
-    for word, n in found[1].items():
-        if n >= least_docs and word.isalpha():
-            other = found[0].get(word, 0)
-            value = float(np.log((n + 0.5) / (sizes[1] - n + 0.5)) - np.log((other + 0.5) / (sizes[0] - other + 0.5)))
-            if value > 2.0:
-                odds[word] = value
-    return dict(sorted(odds.items(), key=lambda kv: (-kv[1], kv[0]))[:most_words])
+    rest = lambda word: found[0].get(word, 0)
+    return {
+        word: (n, float(np.log((n + 0.5) / (sizes[1] - n + 0.5)) - np.log((rest(word) + 0.5) / (sizes[0] - rest(word) + 0.5))))
+        for word, n in found[1].items() if word.isalpha()}
+
+
+def learn_words(sample: list[tuple[str, int]], least_docs: int = 3, most_words: int = 300) -> dict[str, float]:
+    """Words beside the fixed insults that tell toxic documents, in both halves of the sample: the strongest ones."""
+    half = len(sample) // 2
+    one, two = _odds(sample[:half]), _odds(sample[half:])
+    told = {w: min(o, two[w][1]) for w, (n, o) in one.items() if w not in INSULTS and n >= least_docs and o > 2.0 and w in two and two[w][0] >= least_docs and two[w][1] > 2.0}
+    return dict(sorted(told.items(), key=lambda kv: (-kv[1], kv[0]))[:most_words])
+
+
+def variants(sample: list[tuple[str, int]], lexicon: Lexicon, seed: int) -> list[tuple[str, int]]:
+    """Copies of training rows in other forms: insults shortened to their surroundings, spoken to somebody,
+    exchanged for others of the list, disguised, and put into long clean texts; clean texts cut short and strung together."""
+    rng = random.Random(seed)
+    clean = [t for t, y in sample if not y and t.strip()]
+    insults, out = sorted(lexicon.insults), []
+    signs = {"o": "0", "i": "1", "e": "3", "a": "@", "s": "$"}
+
+    def disguise(word: str) -> str:
+        spots = [k for k, c in enumerate(word) if c in signs and 0 < k < len(word) - 1]
+        if not spots:
+            return word
+        k = rng.choice(spots)
+        return word[:k] + signs[word[k]] + word[k + 1:]
+
+    def long_clean(length: int) -> list[str]:
+        words: list[str] = []
+        while clean and sum(map(len, words)) + len(words) < length:
+            words += rng.choice(clean).split()
+        return words
+
+    for text, toxic in sample:
+        words = text.split()
+        if not toxic:
+            if len(words) > 12:
+                at = rng.randrange(len(words) - 10)
+                out.append((" ".join(words[at:at + rng.randrange(3, 40)]), 0))
+            if rng.random() < 0.4:
+                out.append((" ".join(words + long_clean(rng.choice([1000, 4000, 16000]))), 0))
+            continue
+        bare = [next(iter(WORD.findall(plain(w))), "") for w in words]
+        hits = [k for k, w in enumerate(bare) if w in lexicon.insults]
+        if not hits:
+            continue
+        centre = rng.choice(hits)
+        part = words[max(0, centre - 12):centre + 12]
+        inside = [k for k in range(len(part)) if next(iter(WORD.findall(plain(part[k]))), "") in lexicon.insults]
+        swapped = [rng.choice(insults) if k in inside else w for k, w in enumerate(part)]
+        addressed = [rng.choice(["you", "You are a", "you are such a", "shut up you"]), rng.choice(insults)]
+        hidden = [disguise(plain(w)) if k in inside else w for k, w in enumerate(part)]
+        out += [(" ".join(addressed), 1), (" ".join([addressed[0], disguise(addressed[1])]), 1)]
+        for phrase in ([part] if len(inside) > 1 else []) + ([swapped, hidden] if len(inside) > 1 else []) + [addressed, [addressed[0], disguise(addressed[1])]]:
+            body = long_clean(rng.choice([300, 1500, 6000, 20000]))
+            at = rng.randrange(len(body) + 1)
+            out.append((" ".join(body[:at] + phrase + body[at:]), 1))
+            if len(phrase) > 4:
+                out.append((" ".join(phrase), 1))
+    return out
 
 
 def train(sample: list[tuple[str, int]], odds: float = 1.0) -> Model:
-    """Words from the first half, trees on the second and third quarter, calibration on the last.
+    """Words from the first half, trees on the second and third quarter, calibration on the last; trees and
+    calibration also see variants of their own rows.
 
     Half of the trees' rows are new to the word list, so its weight is not overstated. ``odds``: how
     many clean documents of the corpus a clean row of the sample stands for, against a toxic one.
@@ -245,9 +330,15 @@ def train(sample: list[tuple[str, int]], odds: float = 1.0) -> Model:
     if len(y) < 20 or len(set(y[half // 2:three])) < 2 or not y[:half].any():
         return Model(Lexicon({}), None, (np.zeros(1), np.zeros(1)), share)
     lexicon = Lexicon(learn_words(sample[:half]))
-    x = np.array([features(t, lexicon) for t, _ in sample])
-    trees = grow_trees(x[half // 2:three], y[half // 2:three])
-    return Model(lexicon, trees, isotonic(trees.margin(x[three:]), y[three:], weights[three:]), share)
+
+    def seen(rows: list[tuple[str, int]], seed: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = rows + variants(rows, lexicon, seed)
+        return np.array([features(t, lexicon) for t, _ in rows]).reshape(-1, len(FEATURES)), np.array([label for _, label in rows], float)
+
+    x, labels = seen(sample[half // 2:three], 1)
+    trees = grow_trees(x, labels)
+    x, labels = seen(sample[three:], 2)
+    return Model(lexicon, trees, isotonic(trees.margin(x), labels, np.where(labels == 1, 1.0, odds)), share)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 3000) -> Model:
@@ -262,14 +353,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 3000) -> Mod
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Add ``score`` to the columns ``keep``; each text is read once, in the scanning task."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # trees and a few hundred words
+    # Trees and a few hundred words, as plain values: executors need no copy of this package.
+    trees = model.trees and (model.trees.base, model.trees.features, model.trees.thresholds, model.trees.leaves)
+    shared = docs.sparkSession.sparkContext.broadcast((model.lexicon.learned, trees, model.knots, model.share))
     source = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = source.select(*keep).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learned, trees, knots, share = shared.value
+        model = Model(Lexicon(learned), trees and Trees(*trees), knots, share)
         for batch in batches:
-            rows = [features(value.as_py() or "", shared.value.lexicon) for value in batch.column("text")]
-            scores = shared.value.score(rows) if rows else np.zeros(0)
+            rows = [features(value.as_py() or "", model.lexicon) for value in batch.column("text")]
+            scores = model.score(rows) if rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scores, pa.float64())], names=[*keep, "score"])
 
     return source.mapInArrow(run, schema)
