@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,18 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, row_bytes: int, total: int = 32 << 20) -> Iterator[None]:
+    """Plans made inside send large rows to Python in batches of about ``total`` bytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(1, min(int(before) if int(before) > 0 else 10_000, total // max(1, row_bytes)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on a table with fewer splits than cores; larger tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
