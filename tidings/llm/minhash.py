@@ -14,7 +14,9 @@ linked sets differ in more than ``most_errors(slots)`` of the slots with a proba
 3. Pairs pass if their sizes allow it and their whole signatures are within the distance; they are
    confirmed on the full sets, made again from the texts. Linked sets form components.
 4. Where a key still holds rows of different components, its rows are compared signature by signature
-   in tiles of bounded size: first the nearest pair of each two components, then all that is left.
+   in tiles of bounded size. A tile tells no pairs, only a spanning forest of those within the distance. The
+   forests connect rows into blocks that hold every such pair; a block's full sets are sent once and
+   compared in tiles, and a tile tells only the links that join components.
 
 Equal sets are one class with one signature.
 
@@ -29,23 +31,21 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.llm import blocks
 from tidings.llm.common import table
-from tidings.llm.components import components
 from tidings.llm.sketchjoin import GOLDEN, WordHashes, fingerprint, mix, shingle_set
 from tidings.session import cut_lineage, drop_scratch, scratch_path
 
 SIMILARITY = 85  # per cent
 SLOTS, INDEX_SLOTS, BITS, CHUNK_ERRORS, MISS = 256, 128, 16, 1, 1e-7
-TILE_ROWS = 1024
-BROADCAST_ROWS = 1_000_000  # text hashes that a broadcast may hold
-SET_BATCH = 128  # pairs of sets that a task holds at a time
+TILE_ROWS = 1024  # that are compared at a time
 SEEDS = mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * GOLDEN)[:, None]
 FACTORS = (mix(np.arange(SLOTS + 1, 2 * SLOTS + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1))[:, None]
 
@@ -85,24 +85,12 @@ def are_linked(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
     return 100 * both >= similarity * (len(a) + len(b) - both) and both > 0
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int):
-    """Rows that hold whole sets go to Python a few at a time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 # --- signatures and classes ------------------------------------------------------------------
 
 def sign_documents(docs: DataFrame, folder: str) -> DataFrame:
-    """Store (row, doc_id, hash, n, f1, f2, signature); the signature only for the first of equal sets in a task."""
+    """Store (row, doc_id, hash, n, f1, f2, sketch); the signature only for the first of equal sets in a task."""
     source = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
-    schema = source.select("doc_id", "hash").schema.add("n", "long").add("f1", "long").add("f2", "long").add("signature", "binary")
+    schema = source.select("doc_id", "hash").schema.add("n", "long").add("f1", "long").add("f2", "long").add("sketch", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -125,61 +113,19 @@ def sign_documents(docs: DataFrame, folder: str) -> DataFrame:
 
 # --- candidates ------------------------------------------------------------------------------
 
-def neighbours(reps: DataFrame, distance: int, folder: str) -> DataFrame:
-    """Store (key, first, before, row) for the rows of each key after its first in a task.
-
-    A task's first and last key may go on in other tasks: their first rows are told as well (first = row).
-    """
+def shown_keys(reps: DataFrame, distance: int) -> DataFrame:
+    """(key, row): the keys of every signature."""
 
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                flat = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(part.num_rows, SLOTS)
+                flat = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint16).reshape(part.num_rows, SLOTS)
                 keys = chunk_keys(flat[:, :INDEX_SLOTS], distance)
                 rows = np.repeat(part.column("row").to_numpy(), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(rows)], names=["key", "row"])
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "first", "before", "row"]
-        alone = lambda key, row: pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in (key, row, row, row)], names=names)
-        opened = now = first = last = None  # the task's first key; the running key, its first row, the row before
-        for batch in batches:
-            key, row = batch.column("key").to_numpy(), batch.column("row").to_numpy()
-            if not len(key):
-                continue
-            if now is None:
-                opened, now, first, last = key[0], key[0], row[0], row[0]
-                yield alone(now, first)
-                key, row = key[1:], row[1:]
-                if not len(key):
-                    continue
-            starts = np.r_[key[0] != now, key[1:] != key[:-1]]
-            firsts, befores = np.r_[first, row[starts]][np.cumsum(starts)], np.r_[last, row[:-1]]
-            yield pa.RecordBatch.from_arrays([pa.array(x[~starts]) for x in (key, firsts, befores, row)], names=names)
-            now, first, last = key[-1], firsts[-1], row[-1]
-        if now != opened:
-            yield alone(now, first)
-
-    shown = reps.select("row", "signature").mapInArrow(show, "key long, row long")
-    tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = shown.repartitionByRange(tasks, "key", "row").sortWithinPartitions("key", "row")
-    laid.mapInArrow(pair, "key long, first long, before long, row long").write.parquet(folder)
-    return reps.sparkSession.read.parquet(folder)
-
-
-def _spanning(near: DataFrame) -> DataFrame:
-    """(key, first, least): the first rows of a key that fills several tasks, and the least of them."""
-    firsts = near.where("first = row").select("key", "first")
-    least = firsts.groupBy("key").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("tasks"))
-    return firsts.join(least.where("tasks > 1"), "key").select("key", "first", "least")
-
-
-def leader_pairs(near: DataFrame) -> DataFrame:
-    one = near.select(F.col("first").alias("a"), F.col("row").alias("b"))
-    two = near.select(F.col("before").alias("a"), F.col("row").alias("b"))
-    three = _spanning(near).select(F.col("least").alias("a"), F.col("first").alias("b"))
-    return one.unionByName(two).unionByName(three).where("a < b").distinct()
+    return reps.select("row", "sketch").mapInArrow(show, "key long, row long")
 
 
 def sizes_fit(n, m, similarity: int):
@@ -191,131 +137,31 @@ def passing(pairs: DataFrame, reps: DataFrame, distance: int, similarity: int) -
     side = lambda p, *names: reps.select(F.col("row").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in names])
     sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
     close = cut_lineage(sized.where(sizes_fit(F.col("a_n"), F.col("b_n"), similarity)).select("a", "b"))
-    close = close.join(side("a", "signature"), "a").join(side("b", "signature"), "b")
+    close = close.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SLOTS) for c in ("a_signature", "b_signature"))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SLOTS) for c in ("a_sketch", "b_sketch"))
             near = (a != b).sum(axis=1) <= distance
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
-    return close.select("a", "b", "a_signature", "b_signature").mapInArrow(run, "a long, b long")
+    return close.select("a", "b", "a_sketch", "b_sketch").mapInArrow(run, "a long, b long")
 
 
-# --- proof -----------------------------------------------------------------------------------
+def may_link(distance: int, similarity: int) -> blocks.Near:
+    """The test of a tile: sizes and signatures allow a link."""
 
-def confirmed(pairs: DataFrame, stored: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
-    """The linked ones among the pairs (a, b) of rows, by their full sets.
+    def tile(n: np.ndarray, sketches: list[bytes]):
+        flat = np.frombuffer(b"".join(sketches), np.uint16).reshape(len(n), SLOTS)
 
-    Only the texts of paired rows leave the scan: their hashes are broadcast while they are few
-    (counted before), and meet the texts in a shuffled join beyond. A set is known by its size and
-    fingerprint, so of many copies of a text each task sends one and one is kept.
-    """
-    spark = docs.sparkSession
-    rows = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-    wanted = cut_lineage(stored.join(rows, "row").select("row", "hash", "n", "f1", "f2"))
-    hashes = wanted.select("hash").distinct()
-    few = wanted.count() <= BROADCAST_ROWS
-    texts = docs.select("text", F.xxhash64("text").alias("hash")).join(F.broadcast(hashes) if few else hashes.hint("merge"), "hash", "left_semi")
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = WordHashes(), set()
-        for batch in batches:  # a few texts
-            new, sets = [], []
-            for value in batch.column("text"):
-                found = shingle_set(value.as_py(), words)
-                name = (len(found), *fingerprint(found))
-                if name not in seen:
-                    seen.add(name)
-                    new.append(name)
-                    sets.append(found.tobytes())
-            columns = [pa.array([name[k] for name in new], pa.int64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], names=["n", "f1", "f2", "elements"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [
-                are_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), similarity)
-                for x, y in zip(batch.column("a_set"), batch.column("b_set"))]
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    with small_batches(spark, SET_BATCH):
-        sets = texts.select("text").mapInArrow(make, "n long, f1 long, f2 long, elements binary")
-        sets = sets.groupBy("n", "f1", "f2").agg(F.first("elements").alias("elements"))
-        sets = cut_lineage(wanted.select("row", "n", "f1", "f2").join(sets, ["n", "f1", "f2"]).select("row", "elements"))
-        side = lambda p: sets.select(F.col("row").alias(p), F.col("elements").alias(f"{p}_set"))
-        joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_set", "b_set")
-        return cut_lineage(joined.mapInArrow(compare, "a long, b long"))
-
-
-# --- keys that hold several components -------------------------------------------------------
-
-def open_pairs(
-    near: DataFrame, reps: DataFrame, tested: DataFrame, labels: DataFrame, distance: int, similarity: int, nearest: bool, tile_rows: int
-) -> DataFrame:
-    """Untested pairs of rows of a key, in different components, that may be linked.
-
-    ``nearest``: of the pairs of two components a tile tells only the one of the smallest distance.
-    """
-    label = lambda p: F.coalesce(F.col(f"{p}_label"), F.col(p))
-    named = lambda p: labels.select(F.col("node").alias(p), F.col("label").alias(f"{p}_label"))
-    apart = tested.join(named("a"), "a", "left").join(named("b"), "b", "left").where(label("a") != label("b")).select("a", "b")
-    # A key is open if its first row and another row, or the first rows of its tasks, are apart.
-    spanning = _spanning(near).select("key", F.col("least").alias("a"), F.col("first").alias("b")).where("a < b")
-    starred = near.where("first < row").select("key", F.col("first").alias("a"), F.col("row").alias("b")).unionByName(spanning)
-    keys = cut_lineage(starred.join(apart, ["a", "b"], "left_semi").select("key").distinct())
-    members = near.select("key", "row").unionByName(near.select("key", F.col("first").alias("row"))).join(keys, "key", "left_semi").distinct()
-    members = cut_lineage(members)
-    # Keys with the same rows settle the same pairs: one of them is enough. Two rows are settled by their one pair.
-    mark = F.xxhash64("row")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("g"), F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark)).alias("s2"), F.min("row").alias("s3"))
-    sizes = sizes.where("g > 2").groupBy("g", "s1", "s2", "s3").agg(F.min("key").alias("key")).select("key", "g")
-    tiles = F.ceil(F.col("g") / tile_rows).cast("int")
-    spread = members.join(sizes, "key").select("key", "row", tiles.alias("tiles"), F.pmod(F.xxhash64("row", "key"), tiles).cast("int").alias("mine"))
-    spread = cut_lineage(spread).select("key", "row", "mine", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with"))
-    info = reps.join(labels, reps["row"] == labels["node"], "left").select("row", "n", F.coalesce("label", "row").alias("label"), "signature")
-    laid = spread.join(info, "row").select("key", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine", "row", "n", "label", "signature")
-    tasks = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = laid.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+        def test(x: int, others: np.ndarray) -> np.ndarray:
+            fits = np.minimum(n[others], n[x]) * 100 >= np.maximum(n[others], n[x]) * similarity
+            fits[fits] = (flat[others[fits]] != flat[x]).sum(axis=1) <= distance
+            return fits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, []
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "mine", "row", "n", "label", "signature"))):
-                if row[:3] != group:
-                    yield from _compare_tile(group, held, distance, similarity, nearest)
-                    group, held = row[:3], []
-                held.append(row[3:])
-        yield from _compare_tile(group, held, distance, similarity, nearest)
-
-    found = laid.mapInArrow(run, "a long, b long").distinct()
-    return found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
-def _compare_tile(group: tuple | None, members: list[tuple], distance: int, similarity: int, nearest: bool) -> Iterator[pa.RecordBatch]:
-    """The pairs inside one tile (i = j) or between two tiles of a key."""
-    if not members or len({m[3] for m in members}) < 2:
-        return
-    mine, row, n, label = (np.array([m[k] for m in members], np.int64) for k in range(4))
-    flat = np.frombuffer(b"".join(m[4] for m in members), np.uint16).reshape(len(members), SLOTS)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for x in range(len(members) - 1):
-        others = np.arange(x + 1, len(members))
-        others = others[label[others] != label[x]]
-        if group[1] != group[2]:
-            others = others[mine[others] != mine[x]]
-        others = others[np.minimum(n[others], n[x]) * 100 >= np.maximum(n[others], n[x]) * similarity]
-        apart = (flat[others] != flat[x]).sum(axis=1)
-        others, apart = others[apart <= distance], apart[apart <= distance]
-        a, b = np.minimum(row[others], row[x]), np.maximum(row[others], row[x])
-        if nearest:
-            for y, found in zip(label[others].tolist(), zip(apart.tolist(), a.tolist(), b.tolist())):
-                name = (min(y, int(label[x])), max(y, int(label[x])))
-                best[name] = min(best.get(name, found), found)
-        elif len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-    if best:
-        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in best.values()], pa.int64()) for k in (1, 2)], names=["a", "b"])
+        return test
+
+    return tile
 
 
 # --- the whole -------------------------------------------------------------------------------
@@ -329,20 +175,15 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, tile_rows: in
     stored = sign_documents(docs, folders[0])
     sets = ["n", "f1", "f2"]
     classes = cut_lineage(stored.where("n > 0").groupBy(*sets).agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")))
-    stored.where("signature IS NOT NULL").join(classes.select(F.col("rep").alias("row")), "row", "left_semi").select("row", "n", "signature").write.parquet(folders[1])
+    blocks.first_of_sets(stored, classes).select("row", "n", "sketch").write.parquet(folders[1])
     reps = spark.read.parquet(folders[1])
-    near = neighbours(reps, index, folders[2])
-    tested = cut_lineage(leader_pairs(near))
-    linked = confirmed(cut_lineage(passing(tested, reps, whole, similarity)), stored, docs, similarity)
-    edges = lambda: linked.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    labels = cut_lineage(components(edges()))
-    for nearest in (True, False):
-        more = cut_lineage(open_pairs(near, reps, tested, labels, whole, similarity, nearest, tile_rows))
-        if more.isEmpty():
-            break
-        linked = linked.unionByName(confirmed(more, stored, docs, similarity))
-        tested = tested.unionByName(more)
-        labels = cut_lineage(components(edges()))
+    near = blocks.neighbours(shown_keys(reps, index), folders[2])
+    tested = cut_lineage(blocks.leader_pairs(near))
+    texts = docs.select("text", F.xxhash64("text").alias("hash"))
+    sets_of = lambda rows: blocks.full_sets(rows, stored, texts, lambda: partial(shingle_set, hashes=WordHashes()), fingerprint)
+    linked = lambda a, b: are_linked(a, b, similarity)
+    found = blocks.confirmed(cut_lineage(passing(tested, reps, whole, similarity)), sets_of, linked)
+    labels = blocks.all_labels(near, reps, tested, found, sets_of, may_link(whole, similarity), linked, tile_rows)
     # Classes to components, components to rows.
     named = cut_lineage(classes.join(labels, classes["rep"] == labels["node"], "left").select(*sets, "least", F.coalesce("label", "rep").alias("label")))
     least = cut_lineage(named.groupBy("label").agg(F.min("least").alias("component_id")))
