@@ -10,13 +10,15 @@ element, so the Hamming distance of two sketches never exceeds that number.
    sketch is wide (2^32 bits a part) and kept as a fingerprint of each part; a set near the top of its
    band also shows its parts in the next band, whose sets it may be linked with. A set with too few
    non-empty parts shows its elements instead: two such sets that are linked share one.
-2. Sets that show an equal part are candidates. Each is paired with the smallest set of the part and
-   with the first in a random order; no part emits all its pairs.
+2. Sets that show an equal part are candidates. The rows of the parts are range-partitioned, so a frequent
+   part fills several tasks; each set is paired with the first of its part in the task and with the one
+   before it. No part emits all its pairs.
 3. Candidates pass if the Hamming distance of their narrow sketches is within the bound, and are
    verified on the whole sets, made again from the texts.
 4. Linked sets form components. Where a part holds sets of different components after that, its sets
-   are compared sketch by sketch, in tiles of bounded size; what passes is verified as well. After it,
-   every pair that shares a part is either connected or refuted, so no link is lost.
+   are compared sketch by sketch, in tiles of bounded size, which tell spanning forests only; the blocks that
+   these connect are compared on whole sets. After it, every pair that shares a part is either
+   connected or refuted, so no link is lost.
 
 Within a task only the first of equal sets shows its parts; equal sets are one class everywhere.
 
@@ -31,23 +33,21 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidings.llm import blocks
 from tidings.llm.common import table
-from tidings.llm.components import components
 from tidings.session import cut_lineage, drop_scratch, scratch_path
 
 SHINGLE = 5
 CACHE_WORDS = 200_000
 TILE_ROWS = 1024  # rows of a part that are compared at a time
-FILTER_BITS = 1 << 22
-TOLD_PAIRS = 1_000_000
 # Odd constants of the 64-bit mixing function.
 MIX_A, MIX_B, GOLDEN = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -191,37 +191,13 @@ def sketch_documents(docs: DataFrame, folder: str) -> DataFrame:
 
 # --- steps 2 and 3: candidates and their proof -----------------------------------------------
 
-def shared_parts(stored: DataFrame, classes: DataFrame, folder: str) -> DataFrame:
-    """Store (key, row, first, other): the rows of each part that several rows show, with its two leaders.
-
-    Of equal sets in different tasks, a bit set lets only the first row (``rep``) through, and few others.
-    """
-    holders = stored.where(F.col("keys").isNotNull()).select("row", "keys")
-    firsts = that_may_be_in(holders, bits_of(classes.select(F.col("rep").alias("row")), "row"), "row")
-    shown = firsts.select("row", F.explode("keys").alias("key"))
-    by = Window.partitionBy("key")
-    led = shown.select(
-        "key", "row", F.min("row").over(by).alias("first"), F.max("row").over(by).alias("last"),
-        F.min(F.struct(F.xxhash64("row").alias("h"), F.col("row").alias("row"))).over(by)["row"].alias("other"))
-    led.where(F.col("first") != F.col("last")).select("key", "row", "first", "other").write.parquet(folder)
-    return stored.sparkSession.read.parquet(folder)
-
-
-def leader_pairs(shared: DataFrame) -> DataFrame:
-    one = shared.select(F.col("first").alias("a"), F.col("row").alias("b"))
-    two = shared.select(F.least("other", "row").alias("a"), F.greatest("other", "row").alias("b"))
-    return one.unionByName(two).where("a < b").distinct()
-
-
 def passing(pairs: DataFrame, stored: DataFrame) -> DataFrame:
-    """Pairs within the bound by size and sketch: (a, b, same), same if the sets are equal."""
-    shown = stored.where(F.col("sketch").isNotNull())
-    side = lambda p, *names: shown.select(F.col("row").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in names])
+    """Pairs (a, b) within the bound by size and sketch."""
+    side = lambda p, *names: stored.select(F.col("row").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in names])
     sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
     close = cut_lineage(sized.where(F.least("a_n", "b_n") * 5 >= F.greatest("a_n", "b_n") * 4))  # before sketches move
-    close = close.join(side("a", "f1", "f2", "sketch"), "a").join(side("b", "f1", "f2", "sketch"), "b")
-    equal = (F.col("a_n") == F.col("b_n")) & (F.col("a_f1") == F.col("b_f1")) & (F.col("a_f2") == F.col("b_f2"))
-    close = close.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch", equal.alias("same"))
+    close = close.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
+    close = close.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,140 +208,23 @@ def passing(pairs: DataFrame, stored: DataFrame) -> DataFrame:
                 width = min(len(p), len(q))
                 distance[i] = np.bitwise_count(folded(p, width) ^ folded(q, width)).sum()
             kept = pa.array(may_link(a_n, b_n, distance))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "same")], names=["a", "b", "same"]).filter(kept)
-
-    return close.mapInArrow(run, "a long, b long, same boolean")
+            yield batch.select(["a", "b"]).filter(kept)
 
-
-def bits_of(df: DataFrame, *columns: str) -> Broadcast:
-    """A bit set of FILTER_BITS bits over the hashes of some columns: its size does not follow the rows."""
-    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)) + 1
-    pages = df.select(F.bitmap_bucket_number(place).alias("page"), F.bitmap_bit_position(place).alias("bit"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in pages.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # 4 KB for each of 128 pages
-        found = np.frombuffer(row["bits"], np.uint8)
-        out[(row["page"] - 1) * len(found):row["page"] * len(found)] = found
-    return df.sparkSession.sparkContext.broadcast(out.tobytes())
-
-
-def that_may_be_in(df: DataFrame, bits: Broadcast, *columns: str, once: bool = False) -> DataFrame:
-    """The rows whose columns are in the bit set: all that should be, and few others while the set is not full.
-
-    ``once``: of rows with equal columns a task gives one, so that many copies of a text without id stay where they are.
-    """
-    placed = df.withColumn("place", F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, seen = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").astype(bool), set()
-        for batch in batches:
-            batch = batch.filter(pa.array(mask[batch.column("place").to_numpy()])).drop_columns(["place"])
-            if once:
-                new = []
-                for name in zip(*(batch.column(c).to_pylist() for c in columns)):
-                    new.append(name not in seen)
-                    seen.add(name)
-                batch = batch.filter(pa.array(new, pa.bool_()))
-            yield batch
-
-    return placed.mapInArrow(run, df.schema)
-
-
-def verified(pairs: DataFrame, stored: DataFrame, docs: DataFrame) -> DataFrame:
-    """The linked ones among the pairs (a, b), by their whole sets.
-
-    Only documents that may be in a pair leave the scan (a bit set of fixed size tells); texts meet
-    their pairs by row. Rows of equal id and text share the one text that is kept of them.
-    """
-    pairs = cut_lineage(pairs)
-    rows = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-    wanted = cut_lineage(stored.select("row", "doc_id", "text_hash").join(rows, "row"))
-    # The scan cannot see row numbers: rows are found by id and text. Inside a struct a NULL id equals a NULL id.
-    named = ["doc_id", "text_hash"]
-    source = docs.select(*named, "text")
-    texts = that_may_be_in(source, bits_of(wanted, *named), *named, once=True)
-    texts = texts.groupBy(F.struct(*named).alias("name")).agg(F.first("text").alias("text"))
-    texts = texts.join(wanted.select(F.struct(*named).alias("name"), "row"), "name").select("row", "text")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last, one = WordHashes(), None, None
-        for batch in batches:
-            kept = []
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("a_text"), batch.column("b_text")):
-                if a != last:
-                    last, one = a, shingle_set(x.as_py(), hashes)
-                kept.append(are_linked(one, shingle_set(y.as_py(), hashes)))
-            yield batch.select(["a", "b"]).filter(pa.array(kept))
-
-    joined = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("b_text")), "b")
-    joined = joined.join(texts.select(F.col("row").alias("a"), F.col("text").alias("a_text")), "a")
-    return joined.select("a", "b", "a_text", "b_text").mapInArrow(compare, "a long, b long")
+    return close.mapInArrow(run, "a long, b long")
 
 
 # --- step 4: parts that hold several components ----------------------------------------------
 
-def open_pairs(shared: DataFrame, stored: DataFrame, tested: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of rows of a part, in different components and within the sketch bound, not tested yet."""
-    label = lambda p: F.coalesce(F.col(f"{p}_label"), F.col(p))
-    named = lambda p: labels.select(F.col("node").alias(p), F.col("label").alias(f"{p}_label"))
-    apart = tested.join(named("a"), "a", "left").join(named("b"), "b", "left").where(label("a") != label("b"))
-    apart = cut_lineage(apart.select("a", "b"))
-    # Parts in which a row and the first leader are apart; a part of two rows is settled by its one pair.
-    # A bit set may let in a few settled parts more, which costs their comparison and changes nothing.
-    among = that_may_be_in(shared.where("first < row").select("key", "first", "row"), bits_of(apart, "a", "b"), "first", "row")
-    keys = cut_lineage(among.select("key").distinct())
-    members = that_may_be_in(shared.select("key", "row"), bits_of(keys, "key"), "key").join(keys, "key", "left_semi")
-    # Parts with the same rows settle the same pairs: one of them is enough.
-    mark = F.xxhash64("row")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("g"), F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark)).alias("s2"), F.min("row").alias("s3"))
-    sizes = sizes.where("g > 2").groupBy("g", "s1", "s2", "s3").agg(F.min("key").alias("key")).select("key", "g")
-    info = stored.where(F.col("sketch").isNotNull()).select("row", "n", "sketch")
-    info = info.join(labels, info["row"] == labels["node"], "left").select("row", "n", "sketch", F.coalesce("label", "row").alias("label"))
-    # A large part is split into tiles; a row goes to the tile pairs that its own tile is in.
-    tiles = F.ceil(F.col("g") / TILE_ROWS).cast("int")
-    mine = F.pmod(F.xxhash64("row", "key"), tiles).cast("int")
-    spread = cut_lineage(members.join(sizes, "key").select("key", "row", tiles.alias("tiles"), mine.alias("mine")))
-    spread = spread.select("key", "row", "mine", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with"))
-    rows = spread.join(info, "row").select("key", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine", "row", "n", "label", "sketch")
-    tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = rows.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+def near_in_tile(n: np.ndarray, sketches: list[bytes]):
+    """The test of a tile: sizes and sketches allow a link."""
+    narrow = min(map(len, sketches))
+    flat = np.stack([folded(np.frombuffer(s, np.uint8), narrow) for s in sketches])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows_now, told = None, [], set()  # pairs that this task has told already
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "mine", "row", "n", "label", "sketch"))):
-                if row[:3] != group:
-                    yield from _compare_tile(group, rows_now, told)
-                    group, rows_now = row[:3], []
-                rows_now.append(row[3:])
-        yield from _compare_tile(group, rows_now, told)
-
-    found = laid.mapInArrow(run, "a long, b long").distinct()
-    return found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
-def _compare_tile(group: tuple | None, members: list[tuple], told: set) -> Iterator[pa.RecordBatch]:
-    """Sketch distances inside one tile (i = j) or between two tiles of a part; a pair is told once a task."""
-    if not members or len({m[3] for m in members}) < 2:
-        return
-    mine, row, n, label = (np.array([m[k] for m in members], np.int64) for k in range(4))
-    widths = np.array([len(m[4]) for m in members])
-    narrow = int(widths.min())
-    flat = np.stack([folded(np.frombuffer(m[4], np.uint8), narrow) for m in members])
-    pairs: set[tuple[int, int]] = set()
-    for x in range(len(members) - 1):
-        others = np.arange(x + 1, len(members))
-        others = others[label[others] != label[x]]
-        if group[1] != group[2]:
-            others = others[mine[others] != mine[x]]
-        if len(others):
-            distance = np.bitwise_count(flat[others] ^ flat[x]).sum(axis=1, dtype=np.int64)
-            hits = others[may_link(n[others], n[x], distance)]
-            pairs.update(zip(np.minimum(row[hits], row[x]).tolist(), np.maximum(row[hits], row[x]).tolist()))
-    new = sorted(pairs - told)
-    if len(told) < TOLD_PAIRS:  # beyond it pairs may repeat; they are made distinct afterwards
-        told.update(new)
-    if new:
-        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()), pa.array([p[1] for p in new], pa.int64())], names=["a", "b"])
+    def test(x: int, others: np.ndarray) -> np.ndarray:
+        distance = np.bitwise_count(flat[others] ^ flat[x]).sum(axis=1, dtype=np.int64)
+        return may_link(n[others], n[x], distance)
+
+    return test
 
 
 # --- the whole -------------------------------------------------------------------------------
@@ -377,21 +236,21 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    sketches, parts = scratch_path(spark, "sketches"), scratch_path(spark, "parts")
-    stored = sketch_documents(docs, sketches)
+    folders = [scratch_path(spark, name) for name in ("sketches", "classes", "parts")]
+    stored = sketch_documents(docs, folders[0])
     # One class for each set; its first row stands for it. Empty sets are classes of their own.
     sets = ["n", "f1", "f2"]
     classes = cut_lineage(stored.where("n > 0").groupBy(*sets).agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.min_by("row", "doc_id").alias("least_row")))
-    shared = shared_parts(stored, classes, parts)
-    tested = cut_lineage(leader_pairs(shared))
-    likely = cut_lineage(passing(tested, stored))
-    equal = likely.where("same").select("a", "b")
-    linked = cut_lineage(equal.unionByName(verified(likely.where("NOT same").select("a", "b"), stored, docs)))
-    labels = cut_lineage(components(linked.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    more = cut_lineage(passing(open_pairs(shared, stored, tested, labels), stored).select("a", "b"))
-    if not more.isEmpty():
-        linked = linked.unionByName(verified(more, stored, docs))
-        labels = cut_lineage(components(linked.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    firsts = blocks.first_of_sets(stored, classes)
+    firsts.select("row", "n", "sketch").write.parquet(folders[1])
+    reps = spark.read.parquet(folders[1])
+    near = blocks.neighbours(firsts.select(F.explode("keys").alias("key"), "row"), folders[2])
+    tested = cut_lineage(blocks.leader_pairs(near))
+    known = stored.withColumnRenamed("text_hash", "hash")
+    texts = docs.select("text", F.col("text_hash").alias("hash"))
+    sets_of = lambda rows: blocks.full_sets(rows, known, texts, lambda: partial(shingle_set, hashes=WordHashes()), fingerprint)
+    linked = blocks.confirmed(cut_lineage(passing(tested, reps)), sets_of, are_linked)
+    labels = blocks.all_labels(near, reps, tested, linked, sets_of, near_in_tile, are_linked, TILE_ROWS)
 
     classes = classes.join(labels, classes["rep"] == labels["node"], "left").withColumn("label", F.coalesce("label", "rep"))
     classes = cut_lineage(classes.select(*sets, "label", "least", F.coalesce("least_row", "rep").alias("first_row")))
@@ -402,8 +261,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     full = rows.select("row", "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("keeper_row")).alias("keeper"))
     empty = stored.where("n = 0").select("row", "doc_id", "text_hash", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keeper"))
     out = cut_lineage(full.unionByName(empty))
-    drop_scratch(spark, sketches)
-    drop_scratch(spark, parts)
+    for folder in folders:
+        drop_scratch(spark, folder)
     return out
 
 
