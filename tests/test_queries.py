@@ -18,11 +18,15 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_query_has_sql():
-    assert set(queries.registered()) == set(oracles.all_sql())
+#: Too slow in SQL at their size; tested against brute force or single searches.
+WITHOUT_SQL = {"gap_table_full", "digest_full", "frame_searches", "capture_stream"}
 
 
-@pytest.mark.parametrize("name", sorted(queries.registered()))
+def test_every_other_query_has_sql():
+    assert set(queries.registered()) - WITHOUT_SQL == set(oracles.all_sql())
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.registered()) - WITHOUT_SQL))
 def test_query_matches_sql(spark, con, name):
     from tools.compare import rows_of
 

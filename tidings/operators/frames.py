@@ -32,7 +32,8 @@ from tidings.functions.vectors import max_vectors, min_vectors, sum_vectors
 from tidings.operators import gap
 from tidings.operators.kmeans import _nearest, _points
 from tidings.operators.noise import box_points
-from tidings.session import bounded_batches, cut_lineage, local_table
+from tidings.session import bounded_batches, local_table
+from tidings.session import cut_lineage as checkpointed
 
 KEY = "timeframe"
 PART_BYTES = 8 << 20  # of points in a part, and of sample points made at a time
@@ -49,7 +50,7 @@ class FrameSearch(NamedTuple):
 
 
 class Layout(NamedTuple):
-    """Points by (timeframe, part), cached; the parts; a row for each timeframe; vector length."""
+    """Points by (timeframe, part), cached; the parts (_key, _part); a row for each timeframe; vector length."""
 
     points: DataFrame
     parts: DataFrame
@@ -58,6 +59,11 @@ class Layout(NamedTuple):
     id_cols: tuple[str, ...]
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Stored rows under columns of their own, so that they can meet the frames that they came from in a join."""
+    return checkpointed(df).toDF(*df.columns)
+
+
 # --- layout ----------------------------------------------------------------------------------
 
 def first_distinct(points: DataFrame, k: int, seed: int, id_cols: Sequence[str]) -> DataFrame:
@@ -103,7 +109,7 @@ def lay_out(vectors: DataFrame, id_cols: Sequence[str], k_max: int, seed: int, p
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = points.join(many, KEY, "left").withColumn("part", part).drop("parts")
     laid = laid.repartition(tasks, KEY, "part").sortWithinPartitions(KEY, "part").persist(StorageLevel.MEMORY_AND_DISK)
-    parts = cut_lineage(laid.select(KEY, "part").distinct())
+    parts = cut_lineage(laid.select(F.col(KEY).alias("_key"), F.col("part").alias("_part")).distinct())
     return Layout(laid, parts, frames, dims, tuple(id_cols))
 
 
@@ -180,7 +186,7 @@ def _pass(layout: Layout, state: DataFrame, first: int, seed: int) -> DataFrame:
     names = T.StructType.fromDDL(SUMS).names
     data = state.where("ref_id = 0").select(KEY, "last", "centres")
     # A timeframe's centres go to each of its parts; points meet them as they lie, by timeframe and part.
-    parts = layout.parts.join(data, KEY).select(F.col(KEY).alias("_key"), F.col("part").alias("_part"), "last", "centres")
+    parts = layout.parts.join(data.withColumnRenamed(KEY, "_key"), "_key").select("_key", "_part", "last", "centres")
     moving = _parts_of(layout, data).select(KEY, "part", "features")
 
     def on_data(points: pa.Table, centres: pa.Table) -> pa.Table:
@@ -212,7 +218,8 @@ def _pass(layout: Layout, state: DataFrame, first: int, seed: int) -> DataFrame:
 
 def _parts_of(layout: Layout, frames: DataFrame) -> DataFrame:
     """The points of some timeframes. The join has both keys of the layout, so the cached points do not move for it."""
-    return layout.points.join(layout.parts.join(frames.select(KEY), KEY, "left_semi"), [KEY, "part"], "left_semi")
+    parts = layout.parts.join(frames.select(F.col(KEY).alias("_key")), "_key", "left_semi")
+    return layout.points.join(parts, (F.col(KEY) == F.col("_key")) & (F.col("part") == F.col("_part")), "left_semi")
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -315,7 +322,7 @@ def assign(layout: Layout, centres: DataFrame) -> DataFrame:
     """(timeframe, ids, cluster, d2): nearest centre of the point's timeframe; timeframes without centres have no rows."""
     dims, ids = layout.dims, list(layout.id_cols)
     points = _parts_of(layout, centres)
-    parts = layout.parts.join(centres, KEY).select(F.col(KEY).alias("_key"), F.col("part").alias("_part"), "centres")
+    parts = layout.parts.join(centres.withColumnRenamed(KEY, "_key"), "_key").select("_key", "_part", "centres")
     schema = T.StructType([*points.select(KEY, *ids).schema, T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 

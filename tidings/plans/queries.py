@@ -14,17 +14,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions import text, timeframe, unicode, vectors
-from tidings.operators import embed, fetch, gap, kmeans, noise, partition, report, summary, wordpiece
+from tidings.operators import embed, fetch, frames, gap, kmeans, noise, partition, report, summary, wordpiece
 from tidings.operators.domains import suffix_rules, with_registered_domain
 from tidings.plans.crawl import crawl
 from tidings.plans.digest import run_digest
 from tidings.session import cut_lineage, drop_scratch, local_table, scratch_path, spread
 from tidings.sources import sinks, vocabulary
-from tidings.sources.captures import read_captures
+from tidings.sources.captures import once, read_captures
 from tidings.sources.seeds import as_seeds
-from tidings.streaming import timeframes
+from tidings.streaming import closing, digests, timeframes
 
-DIMS = 8
+FULL_DIMS, FULL_K = 768, 30
+STREAM_DIMS = 64
+FIRST_CAPTURE = 1704067200
+DIMS = 8  # of the queries with SQL
 SEED = 0
 K_MAX = 3
 N_REFS = 3
@@ -52,7 +55,7 @@ def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_captures(spark, f"{sf_dir}/pages.parquet").select("url", "html"))
+    return spread(once(read_captures(spark, f"{sf_dir}/pages.parquet").select("url", "html")))
 
 
 def _all_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +110,7 @@ def crawl_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crawl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     crawled = _crawl2(spark, sf_dir)
     pages = _pages(spark, sf_dir)
-    links = fetch.page_links(fetch.captured(_all_seeds(spark, sf_dir), pages))
+    links = fetch.page_links(fetch.captured(crawled.frontier.select("url", "seed_url"), pages))
     statuses = fetch.fetch_status(crawled.frontier, pages)
     words = text.words_by_space(F.col("text"))
     vocab = _documents(spark, sf_dir).select(F.explode(words).alias("token")).distinct()
@@ -337,6 +340,52 @@ def digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("value", F.round("value", 6))
 
 
+# --- at the size of a cluster run: the library's own defaults --------------------------------
+
+def gap_table_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """50 reference samples, K to 30 in blocks of 4."""
+    columns = ["gap_value", "sk", "gap_star", "sk_star"]
+    found = gap.search(_embeddings(spark, sf_dir), ["vec_id"], seed=SEED)
+    return found.table.select("k", F.lit(found.k).cast("int").alias("chosen"), *[F.round(c, 6).alias(c) for c in columns])
+
+
+def digest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with 768 dimensions, 50 reference samples and K to 30."""
+    content = fetch.usable_content(fetch.page_content(_all_seeds(spark, sf_dir), _pages(spark, sf_dir)))
+    points = embed.hashed_sentence_vectors(embed.page_sentences(content), FULL_DIMS, ["url", "pos"])
+    message = run_digest(points, DIGEST_LABEL, ["url", "pos"], seed=SEED, num_take=NUM_TAKE)
+    return message.select("timeframe", F.posexplode("vector").alias("dim", "value"), F.array_join("sentences", "\n").alias("sentences"))
+
+
+def frame_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label's points as one timeframe, searched together: the chosen K, NULL where no K is found."""
+    points = _embeddings(spark, sf_dir).withColumn(frames.KEY, F.concat(F.lit("label-"), F.col("label").cast("string")))
+    layout = frames.lay_out(points, ["vec_id"], FULL_K, SEED)
+    try:
+        found = frames.search(layout, k_max=FULL_K, seed=SEED)
+        tried = found.table.groupBy(frames.KEY).agg(F.count(F.lit(1)).alias("tried"))
+        out = layout.frames.select(frames.KEY, "n").join(tried, frames.KEY).join(found.chosen, frames.KEY, "left")
+        return cut_lineage(out.select(frames.KEY, "n", "tried", "k"))
+    finally:
+        layout.points.unpersist()
+
+
+def capture_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a stream of captures, one each ten minutes: timeframes close by event time, with their digests."""
+    schema = table(spark, sf_dir, "pages").schema
+    arrivals = spark.readStream.schema(schema).parquet(f"{sf_dir}/page[s].parquet")
+    arrivals = arrivals.select("url", "html", F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.col("page_id") * 600).alias("fetched_at"))
+    base, state = scratch_path(spark, "captures"), scratch_path(spark, "state")
+    closing.run_both(arrivals, "fetched_at", base, digests.parsed_captures, digests.closing_outputs(dims=STREAM_DIMS, num_take=NUM_TAKE), state, PERIOD)
+    closed = sinks.read_published(spark, base, "closings").select("timeframe", "closing", "n")
+    found = sinks.read_published(spark, base, "digest").select("timeframe", F.array_join("sentences", "\n").alias("sentences"), F.size("vector").alias("dims"))
+    pages = sinks.read_published(spark, base, "words").groupBy("timeframe").agg(F.count(F.lit(1)).alias("pages"))
+    out = cut_lineage(closed.join(pages, "timeframe", "left").join(found, "timeframe", "left"))
+    drop_scratch(spark, base)
+    drop_scratch(spark, state)
+    return out
+
+
 # --- timeframes, sinks, streams --------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,6 +512,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         encode_pair, decode_tokens, token_spans, sentence_vectors, bounding_box,
         assign_fixed_centres, dispersion_fixed, largest_cluster_topn, digest_vector, null_samples,
         kmeans_fit, gap_table, choose_k, digest, timeframe_end, timeframe_label, run_schedule,
-        outbox, save_tables, stream_timeframes, partition_handler,
+        outbox, save_tables, stream_timeframes, partition_handler, gap_table_full, digest_full,
+        frame_searches, capture_stream,
     ]
     return {query.__name__: query for query in queries}

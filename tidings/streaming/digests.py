@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions import html, text
-from tidings.operators import embed, fetch, wordpiece
+from tidings.operators import embed, fetch, frames, wordpiece
 from tidings.plans.digest import DIGEST_SCHEMA, run_digest
-from tidings.session import local_table
+from tidings.session import cut_lineage, local_table
 from tidings.sources import sinks
+from tidings.streaming.closing import Outputs
 from tidings.streaming.timeframes import Recompute
 
 DigestOf = Callable[[DataFrame, str], DataFrame]
@@ -42,6 +43,40 @@ def digests_per_timeframe(landed: DataFrame, digest_of: DigestOf) -> DataFrame:
     return every.join(reduce(DataFrame.unionByName, found), "timeframe", "left")
 
 
+def parsed_captures(rows: DataFrame) -> DataFrame:
+    """``(timeframe, url, version, text)`` of usable pages: what ``closing.land`` keeps of captures."""
+    shown = rows.select("timeframe", "url", html.visible_text(F.col("html")).alias("text"))
+    return fetch.usable_content(shown).withColumn("version", F.xxhash64("text"))
+
+
+def closing_outputs(dims: int = 768, vocab: wordpiece.Vocabulary | None = None, **search: Any) -> Outputs:
+    """Outputs for ``closing.close`` over parsed captures: words, sentences, token ids (with a vocabulary),
+    digests and their messages, for all closing timeframes at once. ``search`` goes to ``frames.digests``.
+
+    A page captured twice in a timeframe counts once per text. A timeframe without a digest has no row.
+    """
+    keys = ["timeframe", "url"]
+
+    def outputs(landed: DataFrame) -> dict[str, DataFrame]:
+        content = cut_lineage(landed.select(*keys, "version", "text").dropDuplicates([*keys, "version"]))
+        rows = embed.page_sentences(content, [*keys, "version"])
+        points = embed.hashed_sentence_vectors(rows, dims, [*keys, "version", "pos"])
+        digest = cut_lineage(frames.digests(points, ["url", "version", "pos"], **search))
+        tables = {
+            "words": content.select(*keys, text.words_by_space(F.col("text")).alias("items")),
+            "sentences": content.select(*keys, text.sentences(F.col("text")).alias("items")),
+            "digest": digest,
+            "outbox": sinks.outbox(digest).withColumn("timeframe", F.col("key")),
+        }
+        if vocab is not None:
+            cleaned = content.select(*keys, "version", text.clean(F.col("text")).alias("text"))
+            encoded = wordpiece.encode(cleaned, vocab, [*keys, "version"])
+            tables["token_ids"] = encoded.select(*keys, F.col("token_ids").alias("items"))
+        return tables
+
+    return outputs
+
+
 def read_digests(spark: SparkSession, base_path: str) -> DataFrame:
     return sinks.read_table(spark, base_path, "digest").filter(F.col("vector").isNotNull())
 

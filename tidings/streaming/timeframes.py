@@ -15,13 +15,15 @@ from tidings.sources import sinks
 Recompute = Callable[[DataFrame], DataFrame]
 
 
-def with_timeframe(rows: DataFrame, ts_col: str, period: str | None = None) -> DataFrame:
-    """Add the label of the timeframe that a row's time falls into.
+def with_timeframe(rows: DataFrame, ts_col: str, period: str | None = None, keep_end: str | None = None) -> DataFrame:
+    """Add the label of the timeframe that a row's time falls into, and its end as ``keep_end``.
 
     The default period is the half-hour slot; any other window length works the same way.
     """
     end = timeframe.next_slot(F.col(ts_col)) if period is None else F.window(ts_col, period)["end"]
-    return rows.withColumn("_end", end).withColumn("timeframe", timeframe.label(F.col("_end"))).drop("_end")
+    name = keep_end or "_end"
+    labelled = rows.withColumn(name, end).withColumn("timeframe", timeframe.label(F.col(name)))
+    return labelled if keep_end else labelled.drop(name)
 
 
 def stream_writer(
