@@ -1,10 +1,12 @@
+import random
+import time
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidings.functions import unicode
-from tidings.operators import joins, wordpiece
+from tidings.operators import joins, piecetrie, wordpiece
 from tidings.operators.numbering import running_count
 from tidings.sources import vocabulary
 
@@ -97,6 +99,37 @@ def test_pieces_match_greedy_walk(texts, vocab, way):
         assert rows[i].segments == [0] * len(tokens)
 
 
+def greedy(word, ids, unknown):
+    """The longest token at each step, every length tried."""
+    out, start = [], 0
+    while start < len(word):
+        mark = "##" if start else ""
+        size = next((n for n in range(len(word) - start, 0, -1) if mark + word[start:start + n] in ids), None)
+        out.append((mark + word[start:start + (size or 1)], ids[mark + word[start:start + size]] if size else unknown, start, size or 1))
+        start += size or 1
+    return out
+
+
+def test_trie_equals_trying_every_length():
+    rng = random.Random(0)
+    for _ in range(1500):
+        letters = "ab#c"[:rng.randrange(1, 5)]
+        tokens = {rng.choice(["", "##"]) + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(12))}
+        ids = {t: i + 5 for i, t in enumerate(sorted(tokens))}
+        walker = piecetrie.Walker(piecetrie.build(list(ids), list(ids.values()), "##"), "##", 1)
+        for _ in range(5):
+            word = "".join(rng.choice("ab#cd") for _ in range(rng.randrange(15)))
+            assert walker.pieces(word) == greedy(word, ids, 1), (tokens, word)
+
+
+def test_a_megabyte_word_is_read_once():
+    ids = {"a": 1, "##a": 2, "##" + "a" * 200 + "b": 3}
+    walker = piecetrie.Walker(piecetrie.build(list(ids), list(ids.values()), "##"), "##", 0)
+    started = time.perf_counter()
+    assert len(walker.pieces("a" * 1_000_000)) == 1_000_000
+    assert time.perf_counter() - started < 10
+
+
 def test_truncation_in_closed_form(spark):
     cases = [(a, b) for a in range(14) for b in range(14)]
     df = spark.createDataFrame(cases, "a int, b int")

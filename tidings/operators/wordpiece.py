@@ -1,13 +1,13 @@
 """Word-piece tokens of a corpus, with a vocabulary that travels to the tasks or is joined.
 
-A vocabulary of up to ``SHIPPED_TOKENS`` tokens goes to every task once, and an Arrow function walks
-the distinct words of each batch in place: no word leaves its text. A larger one is joined.
+A vocabulary of up to ``SHIPPED_TOKENS`` tokens goes to every task once, as a trie, and an Arrow function
+walks the distinct words of each batch in place: no word leaves its text. A larger one is joined.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tidings.functions import unicode
 from tidings.functions.binding import let
 from tidings.operators.joins import lookup_join
+from tidings.operators.piecetrie import Links, Walker, build
 from tidings.session import cut_lineage
 
 # The special tokens and the mark of a continuation piece.
@@ -57,44 +58,21 @@ def prepare(vocab: DataFrame) -> Vocabulary:
     return Vocabulary(table, special.get(CLS, unk), special.get(SEP, unk), unk, longest, size)
 
 
-class _Speller:
-    """The longest vocabulary prefix at each step of a word, on the side of a task."""
-
-    def __init__(self, ids: dict[str, int], longest: int, unknown: int | None):
-        self.ids, self.longest, self.unknown = ids, longest, unknown
-
-    def pieces(self, word: str) -> list[tuple[str, int | None, int, int]]:
-        """``(piece, id, start, length)`` of a normalised word, in order."""
-        out, start, ids = [], 0, self.ids
-        while start < len(word):
-            mark = CONTINUATION if start else ""
-            for size in range(min(self.longest, len(word) - start), 0, -1):
-                piece = mark + word[start:start + size]
-                if piece in ids:
-                    out.append((piece, ids[piece], start, size))
-                    break
-            else:
-                size = 1
-                out.append((mark + word[start], self.unknown, start, 1))
-            start += size
-        return out
-
-
-def _shipped(vocab: Vocabulary):
-    """The vocabulary as a broadcast speller; its size was counted."""
-    rows = vocab.table.toArrow()
-    ids = dict(zip(rows.column("token").to_pylist(), rows.column("id").to_pylist()))
-    return vocab.table.sparkSession.sparkContext.broadcast(_Speller(ids, vocab.longest, vocab.unk_id))
+def _shipped(vocab: Vocabulary) -> Callable[[], Walker]:
+    """The vocabulary's trie as a broadcast of plain arrays, and how a task begins to walk it; its size was counted."""
+    rows, unknown = vocab.table.toArrow(), vocab.unk_id
+    links = build(rows.column("token").to_pylist(), rows.column("id").to_pylist(), CONTINUATION)
+    shared = vocab.table.sparkSession.sparkContext.broadcast(tuple(links))
+    return lambda: Walker(Links(*shared.value), CONTINUATION, unknown)
 
 
 def _piece_function(vocab: Vocabulary) -> Callable[[Column], Column]:
     """A column function from a list of normalised words to the list of their pieces."""
-    shipped = _shipped(vocab)
+    begin = _shipped(vocab)
 
-    @F.arrow_udf(T.ArrayType(PIECE))
-    def spell(words: pa.Array) -> pa.Array:
+    def spelled(words: pa.Array, walker: Walker) -> pa.Array:
         coded = words.flatten().dictionary_encode()
-        found = [shipped.value.pieces(w) for w in coded.dictionary.to_pylist()]
+        found = [walker.pieces(w) for w in coded.dictionary.to_pylist()]
         counts = np.array([len(f) for f in found], np.int64)
         texts = pa.array([p[0] for f in found for p in f], pa.string())
         ids = pa.array([p[1] for f in found for p in f], pa.int64())
@@ -108,6 +86,12 @@ def _piece_function(vocab: Vocabulary) -> Callable[[Column], Column]:
         structs = pa.StructArray.from_arrays([texts.take(taken), ids.take(taken)], names=["piece", "id"])
         return pa.ListArray.from_arrays(pa.array(offsets), structs)
 
+    @F.arrow_udf(T.ArrayType(PIECE))
+    def spell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        walker = begin()
+        for words in batches:
+            yield spelled(words, walker)
+
     return spell
 
 
@@ -120,9 +104,9 @@ def _normal(raw: str, cased: bool) -> str:
 
 def _span_function(vocab: Vocabulary, cased: bool) -> Callable[[Column], Column]:
     """A column function from a text's chunks (spaces and one word each) to the spans of its pieces."""
-    shipped = _shipped(vocab)
+    begin = _shipped(vocab)
 
-    def of_chunk(chunk: str) -> list[tuple[int, int, str, int, int]]:
+    def of_chunk(chunk: str, walker: Walker) -> list[tuple[int, int, str, int, int]]:
         """``(part, length of spaces, token, begin, end)``, positions from the start of the chunk."""
         skip = 0
         while skip < len(chunk) and (chunk[skip] in " \n\r\t\u2028\u2029" or unicodedata.category(chunk[skip]) == "Zs"):
@@ -131,22 +115,27 @@ def _span_function(vocab: Vocabulary, cased: bool) -> Callable[[Column], Column]
         # Position in the raw word of each character of the normal form.
         origin = range(len(raw)) if raw.isascii() and raw.isprintable() else [i for i, c in enumerate(raw) for _ in _normal(c, cased)]
         return [(part, piece, skip + origin[start], skip + origin[start + size - 1] + 1)
-                for part, (piece, _, start, size) in enumerate(shipped.value.pieces(_normal(raw, cased)))]
+                for part, (piece, _, start, size) in enumerate(walker.pieces(_normal(raw, cased)))]
 
-    @F.arrow_udf(T.ArrayType(SPAN))
-    def spans(chunks: pa.Array) -> pa.Array:
+    def spans_of(chunks: pa.Array, walker: Walker) -> pa.Array:
         known: dict[str, list] = {}
         out = []
         for text in chunks.to_pylist():
             place, rows = 0, []
             for at, chunk in enumerate(text or []):
                 if chunk not in known:
-                    known[chunk] = of_chunk(chunk)
+                    known[chunk] = of_chunk(chunk, walker)
                 rows += [{"at": at, "part": part, "token": token, "start": place + low, "end": place + high} for part, token, low, high in known[chunk]]
                 place += len(chunk)
             out.append(rows)
         return pa.array(out, pa.list_(pa.struct([("at", pa.int32()), ("part", pa.int32()), ("token", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))
 
+    @F.arrow_udf(T.ArrayType(SPAN))
+    def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        walker = begin()
+        for chunks in batches:
+            yield spans_of(chunks, walker)
+
     return spans
 
 

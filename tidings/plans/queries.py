@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions import text, timeframe, unicode, vectors
-from tidings.operators import embed, fetch, frames, gap, kmeans, noise, partition, report, summary, wordpiece
+from tidings.operators import boundaries, embed, fetch, frames, gap, kmeans, noise, partition, report, summary, wordpiece
 from tidings.operators.domains import suffix_rules, with_registered_domain
 from tidings.plans.crawl import crawl
 from tidings.plans.digest import run_digest
@@ -150,6 +150,12 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.page_sentences(_documents(spark, sf_dir), ["doc_id"])
 
 
+def learned_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences by boundaries that all documents teach."""
+    docs = _documents(spark, sf_dir)
+    return boundaries.sentences(docs, boundaries.learn(docs), ["doc_id"])
+
+
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _documents(spark, sf_dir).select(text.words_by_space(F.col("text")).alias("words"))
     return report.word_counts(words)
@@ -513,6 +519,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         assign_fixed_centres, dispersion_fixed, largest_cluster_topn, digest_vector, null_samples,
         kmeans_fit, gap_table, choose_k, digest, timeframe_end, timeframe_label, run_schedule,
         outbox, save_tables, stream_timeframes, partition_handler, gap_table_full, digest_full,
-        frame_searches, capture_stream,
+        frame_searches, capture_stream, learned_sentences,
     ]
     return {query.__name__: query for query in queries}
