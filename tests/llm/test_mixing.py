@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -102,3 +103,26 @@ def test_applied_mix_keeps_columns(spark):
     texts = {(d, t) for d, t, _, _ in odd_rows()}
     counts = Counter((r["doc_id"], r["text"]) for r in out.collect())
     assert set(counts) <= texts and all(c <= 2 for k, c in counts.items() if k[0] not in (10,))
+
+
+@pytest.mark.parametrize("range_rows", [50_000, 7])
+def test_applied_mix_meets_every_source_to_one_document(spark, monkeypatch, range_rows):
+    """Also a source whose words lie in a few long texts, and one with a third of all rows of equal size."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", range_rows)
+    rng = random.Random(3)
+    rows = [(i, "w " * rng.randrange(1, 90), "en", f"s{i % 5}") for i in range(400)]
+    rows += [(1000 + i, "w " * n, "en", "long") for i, n in enumerate([4000, 2500, 1300, 700, 64])]
+    rows += [(2000 + i, "w " * 40, "en", "even") for i in range(200)] + [(3000 + i, "w " * 30, "en", None) for i in range(20)]
+    docs = odd_documents(spark, rows)
+    slots, laid = mixing.mix(docs)
+    source = {d: s for d, _, _, s in rows}
+    size = {d: len(t.split()) for d, t, _, _ in rows}
+    taken, kept = Counter(), Counter()
+    for r in mixing.taken_words(slots, laid).collect():
+        taken[source[r["doc_id"]]] += r["taken"]
+    for r in mixing.apply_mix(docs).collect():
+        kept[r["source"]] += size[r["doc_id"]]
+    for name in set(source.values()):
+        largest = max(n for d, n in size.items() if source[d] == name)
+        slack = 1 if range_rows > 400 else 2
+        assert abs(kept[name] - taken[name]) <= slack * largest, (name, kept[name], taken[name], largest)

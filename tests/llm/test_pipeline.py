@@ -88,5 +88,5 @@ def test_empty_documents(spark, tmp_path):
 def test_registered_names():
     found = entry.queries()
     assert set(registered()) <= set(found) and found["pipeline"] is pipeline.run
-    assert sorted(int(n[2:].split("_")[0]) for n in registered()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registered()) == list(range(1, 14))
     assert [n for n, _ in pipeline.STAGES] and len(pipeline.STAGES) == 5

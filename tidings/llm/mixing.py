@@ -35,6 +35,7 @@ BLOCK_TOKENS = 64
 SHARD_SLOTS = 1 << 16
 TOTAL_SHARE, MOST = 1.5, 2.0
 ROUNDS = 4  # of the permutation's network
+RANGE_ROWS = 50_000  # of a source that are added up together
 WALKS = 64  # at most; a step leaves the range with a chance below 1/2
 
 
@@ -169,8 +170,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, block_tokens: int =
     return slots.select("shard", "rank", "ordinal", block.alias("block")), laid
 
 
-def taken_words(slots: DataFrame, laid: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Join slots and documents by block; the words of each document that the mix takes, repeats counted."""
+def taken_words(slots: DataFrame, laid: DataFrame, block_tokens: int = BLOCK_TOKENS, more: Sequence[str] = ()) -> DataFrame:
+    """Join slots and documents by block; the words of each document that the mix takes, repeats counted. ``more`` names further columns of ``laid``."""
     uses = slots.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses"))
     last = F.col("first") + F.col("size")
     parts = laid.where("size > 0").select(
@@ -182,24 +183,50 @@ def taken_words(slots: DataFrame, laid: DataFrame, block_tokens: int = BLOCK_TOK
     found = parts.join(uses, ["rank", "block"]).groupBy(*names, "rank", "first").agg(F.sum(overlap * F.col("uses")).alias("taken"))
     whole = laid.select(*names, "rank", "first", F.lit(0).cast("long").alias("taken")).unionByName(found.select(*names, "rank", "first", "taken"))
     # Rows without words may agree in all keys; they must stay as many as they are.
-    zero = laid.where("size = 0").select(*names, F.lit(0).cast("long").alias("taken"))
+    zero = laid.where("size = 0").select(*names, *more, F.lit(0).cast("long").alias("taken"))
     summed = whole.where("size > 0").groupBy("rank", "first", *names).agg(F.sum("taken").cast("long").alias("taken"))
-    return summed.select(*names, "taken").unionByName(zero)
+    return summed.select(*names, *more, "taken").unionByName(zero)
+
+
+def whole_times(ratios: DataFrame) -> DataFrame:
+    """Add ``times``: whole numbers that follow the ratios (doc_id, size, rank, ratio) of each source.
+
+    The ratios of a source are added up in the order of sizes, and a document occurs as often as the sum
+    passes a whole number in it. So every run of documents has as many as its ratios say, but for one, and as
+    sizes are in order the words of a source miss what is taken by no more than a document. A
+    source of any size is added up in ranges of a bounded number of rows, one number a range.
+    """
+    unit = 1 << 20  # sums of whole units are the same in any order
+    rows = ratios.withColumn("_bucket", F.floor(F.log2("size") * 8).cast("int")).withColumn("_units", F.round(F.col("ratio") * unit).cast("long"))
+    ranges = rows.groupBy("rank", "_bucket").agg(F.ceil(F.count(F.lit(1)) / RANGE_ROWS).cast("long").alias("_ranges"))
+    rows = cut_lineage(rows.join(ranges, ["rank", "_bucket"]).withColumn("_range", F.pmod(F.xxhash64("doc_id", "size"), F.col("_ranges"))))
+    totals = rows.groupBy("rank", "_bucket", "_range").agg(F.sum("_units").alias("_total"))
+    before = Window.partitionBy("rank").orderBy("_bucket", "_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("rank", "_bucket", "_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("rank", "_bucket", "_range").orderBy("size", F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumn("_inside", F.sum("_units").over(inside)).join(starts, ["rank", "_bucket", "_range"])
+    end = F.col("_start") + F.col("_inside") + unit // 2
+    times = F.floor(end / unit) - F.floor((end - F.col("_units")) / unit)
+    return summed.select(*ratios.columns, times.cast("int").alias("times"))
 
 
 def apply_mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The documents as often as the mix takes them (0 to 2 times), all columns kept.
 
-    A document of which 1.3 times its words are taken stands once, or twice with chance 0.3 by the hash
-    of its id. Rows that agree in doc_id and size share what is taken of them evenly; a text without words does not occur.
+    Of each source as many words stay as are taken of it, to a document. Rows that agree in doc_id and
+    size share what is taken of them evenly, and stand by the chance of a hash; a text without words does not occur.
     """
     slots, laid = mix(docs, seed=seed)
-    by_key = taken_words(slots, laid).where("size > 0").groupBy("doc_id", "size").agg((F.sum("taken") / F.sum("size")).alias("ratio"))
-    by_key = cut_lineage(by_key.where("ratio > 0"))
-    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), word_count(F.col("text")).alias("words"))
+    taken = taken_words(slots, laid, more=["rank"]).where("size > 0")
+    by_key = cut_lineage(taken.groupBy("doc_id", "size").agg(
+        (F.sum("taken") / F.sum("size")).alias("ratio"), F.min("rank").alias("rank"), F.count(F.lit(1)).alias("rows")))
+    single = whole_times(by_key.where("rows = 1").drop("rows")).where("times > 0").select("doc_id", "size", "times", F.lit(0.0).alias("chance"))
+    shared = by_key.where("rows > 1").select("doc_id", "size", F.floor("ratio").cast("int").alias("times"), (F.col("ratio") - F.floor("ratio")).alias("chance"))
+    by_key = cut_lineage(single.unionByName(shared))
+    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), word_count(F.col("text")).alias("words"))
     joined = keyed.join(by_key, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("words") == F.col("size")))
-    chance = F.pmod(F.xxhash64(F.lit(seed), "id", "words"), F.lit(1 << 30)) / float(1 << 30)
-    times = F.floor("ratio") + F.when(chance < F.col("ratio") - F.floor("ratio"), 1).otherwise(0)
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "id", "words", "hash"), F.lit(1 << 30)) / float(1 << 30)
+    times = F.col("times") + F.when(drawn < F.col("chance"), 1).otherwise(0)
     return joined.where(times > 0).select("doc", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select("doc.*")
 
 
