@@ -82,7 +82,7 @@ def neighbours(shown: DataFrame, folder: str) -> DataFrame:
 
     tasks = int(shown.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = shown.repartitionByRange(tasks, "key", "row").sortWithinPartitions("key", "row")
-    laid.mapInArrow(pair, "key long, first long, before long, row long").write.parquet(folder)
+    laid.mapInArrow(pair, "key long, first long, before long, row long").write.option("compression", "zstd").parquet(folder)
     return shown.sparkSession.read.parquet(folder)
 
 
@@ -95,7 +95,7 @@ def spanning(near: DataFrame) -> DataFrame:
 
 def leader_pairs(near: DataFrame) -> DataFrame:
     one = near.select(F.col("first").alias("a"), F.col("row").alias("b"))
-    two = near.select(F.col("before").alias("a"), F.col("row").alias("b"))
+    two = near.where("before <> first").select(F.col("before").alias("a"), F.col("row").alias("b"))
     three = spanning(near).select(F.col("least").alias("a"), F.col("first").alias("b"))
     return one.unionByName(two).unionByName(three).where("a < b").distinct()
 
