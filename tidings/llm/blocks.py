@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.llm.common import tidied
 from tidings.llm.components import components
 from tidings.session import cut_lineage
 
@@ -82,7 +83,7 @@ def neighbours(shown: DataFrame, folder: str) -> DataFrame:
 
     tasks = int(shown.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = shown.repartitionByRange(tasks, "key", "row").sortWithinPartitions("key", "row")
-    laid.mapInArrow(pair, "key long, first long, before long, row long").write.option("compression", "zstd").parquet(folder)
+    laid.mapInArrow(tidied(pair), "key long, first long, before long, row long").write.option("compression", "zstd").parquet(folder)
     return shown.sparkSession.read.parquet(folder)
 
 
@@ -128,7 +129,7 @@ def full_sets(rows: DataFrame, stored: DataFrame, texts: DataFrame, set_of: Call
             columns = [pa.array([name[k] for name in new], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], names=["n", "f1", "f2", "elements"])
 
-    sets = texts.select("text").mapInArrow(make, "n long, f1 long, f2 long, elements binary")
+    sets = texts.select("text").mapInArrow(tidied(make), "n long, f1 long, f2 long, elements binary")
     sets = sets.groupBy("n", "f1", "f2").agg(F.first("elements").alias("elements"))
     return wanted.select("row", "n", "f1", "f2").join(sets, ["n", "f1", "f2"]).select("row", "elements")
 
@@ -149,7 +150,7 @@ def confirmed(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], linke
         sets = cut_lineage(sets_of(rows))
         side = lambda p: sets.select(F.col("row").alias(p), F.col("elements").alias(f"{p}_set"))
         joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_set", "b_set")
-        return cut_lineage(joined.mapInArrow(compare, "a long, b long"))
+        return cut_lineage(joined.mapInArrow(tidied(compare), "a long, b long"))
 
 
 # --- keys that hold several components -------------------------------------------------------

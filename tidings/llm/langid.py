@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm.common import remainder, table
+from tidings.llm.common import remainder, table, tidied
 
 WINDOW = 48  # bytes
 CACHE_WORDS = 200_000  # distinct words that a task remembers
@@ -251,7 +251,7 @@ def score_documents(docs: DataFrame, model: Model | None, keep: list[str]) -> Da
                     [*columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                     names=[*keep, "lang_pred", "score"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidied(run), schema)
 
 
 def keep_identified(docs: DataFrame, model: Model | None, least: float | None = None) -> DataFrame:
@@ -270,11 +270,15 @@ def keep_identified(docs: DataFrame, model: Model | None, least: float | None =
     @F.arrow_udf("boolean")
     def fits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(Model(*shared.value))
-        for texts in batches:
-            flags = []
-            for at in range(0, len(texts), 250):
-                flags += [lang != UNKNOWN and score >= bar for lang, score in scorer.score(texts.slice(at, 250).to_pylist())]
-            yield pa.array(flags, pa.bool_())
+
+        def flagged(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in arrays:
+                flags = []
+                for at in range(0, len(texts), 250):
+                    flags += [lang != UNKNOWN and score >= bar for lang, score in scorer.score(texts.slice(at, 250).to_pylist())]
+                yield pa.array(flags, pa.bool_())
+
+        yield from tidied(flagged)(batches)
 
     return docs.where(fits(F.col("text")))
 

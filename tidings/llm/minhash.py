@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm import blocks
-from tidings.llm.common import table
+from tidings.llm.common import table, tidied
 from tidings.llm.sketchjoin import GOLDEN, WordHashes, fingerprint, mix, shingle_set
 from tidings.session import cut_lineage, drop_scratch, scratch_path
 
@@ -107,7 +107,7 @@ def sign_documents(docs: DataFrame, folder: str) -> DataFrame:
                 columns = [pa.array(x, pa.int64()) for x in zip(*names)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("hash"), *columns, pa.array(signatures, pa.binary())], names=schema.names)
 
-    source.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    source.mapInArrow(tidied(run), schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 

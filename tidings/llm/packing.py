@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm.common import running_sum, table
+from tidings.llm.common import running_sum, table, tidied
 from tidings.session import local_table, scratch_path
 
 WINDOW, END_ID = 4096, 2
@@ -127,7 +127,7 @@ def tokenise(docs: DataFrame, path: str, folder: str) -> DataFrame:
                     [part.column("doc_id"), pa.array([len(i) // 2 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n", "ids"])
 
-    source.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    source.mapInArrow(tidied(run), schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 
@@ -303,7 +303,7 @@ def cut_pieces(stored: DataFrame, placed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(owners, pa.int64())), *[pa.array(c, pa.int64()) for c in columns]], names=["doc_id", *names])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidied(run), schema)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.llm import blocks
-from tidings.llm.common import table
+from tidings.llm.common import table, tidied
 from tidings.session import cut_lineage, drop_scratch, scratch_path
 
 SHINGLE = 5
@@ -185,7 +185,7 @@ def sketch_documents(docs: DataFrame, folder: str) -> DataFrame:
                     [part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
                      pa.array([p[1] for p in prints], pa.int64()), lists, pa.array(sketches, pa.binary())], names=schema.names)
 
-    source.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    source.mapInArrow(tidied(run), schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 
@@ -210,7 +210,7 @@ def passing(pairs: DataFrame, stored: DataFrame) -> DataFrame:
             kept = pa.array(may_link(a_n, b_n, distance))
             yield batch.select(["a", "b"]).filter(kept)
 
-    return close.mapInArrow(run, "a long, b long")
+    return close.mapInArrow(tidied(run), "a long, b long")
 
 
 # --- step 4: parts that hold several components ----------------------------------------------
