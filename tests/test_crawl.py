@@ -182,3 +182,20 @@ def test_unknown_suffixes_follow_the_default_rule(spark, small):
     links = spark.createDataFrame([("http://a.io/", "http://b.io/"), ("http://m.a.io/", "http://a.io/"), ("http://x.com.br/", "http://y.com.br/")], "href string, seed_url string")
     kept = {r.href for r in domains.within_domain(links, rules).collect()}
     assert "http://a.io/" not in kept and "http://m.a.io/" in kept
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_rules_of_many_labels_and_both_forms_of_a_name(spark, small):
+    rules = domains.suffix_rules(spark, ["com", "br", "com.br", "d.e.f.g.h", "h", "*.kawasaki.jp", "!city.kawasaki.jp", "jp", "москва"])._replace(small=small)
+    pairs = [
+        ("http://x.com.br/", "x", "com.br"), ("http://y.com.br/", "y", "com.br"), ("http://a.b.c.d.e.f.g.h/", "c", "d.e.f.g.h"), ("http://e.f.g.h/", "g", "h"),
+        ("http://a.b.kawasaki.jp/", "a", "b.kawasaki.jp"), ("http://b.kawasaki.jp/", "", "b.kawasaki.jp"), ("http://w.city.kawasaki.jp/", "city", "kawasaki.jp"),
+        ("http://kawasaki.jp/", "kawasaki", "jp"), ("http://сайт.москва/", "сайт", "москва"), ("http://a.xn--80adxhks/", "a", "xn--80adxhks"), ("http://10.0.0.1/", "10.0.0.1", ""),
+        ("http://single/", "single", ""), ("http://a.unknown/", "a", "unknown"),
+    ]
+    rows = domains.with_registered_domain(spark.createDataFrame([(u,) for u, _, _ in pairs], "url string"), rules)
+    assert {r.url: (r.domain, r.suffix) for r in rows.collect()} == {u: (d, s) for u, d, s in pairs}
+    links = spark.createDataFrame([("http://x.com.br/a", "http://y.com.br/"), ("http://w.x.com.br/a", "http://x.com.br/")], "href string, seed_url string")
+    assert [r.href for r in domains.within_domain(links, rules).collect()] == ["http://w.x.com.br/a"]
+    if small:
+        assert "Join" not in plan_of(domains.within_domain(links, rules))

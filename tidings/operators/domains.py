@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions import urls
+from tidings.functions.binding import let
 from tidings.operators.joins import lookup_join
 from tidings.session import local_table
 
-# Suffixes used when no rule file is given.
+# A few suffixes for tests and trials. A run takes a rule file (``read_suffix_rules``): by these
+# names alone two sites below com.br, which they do not hold, would be one domain.
 COMMON_SUFFIXES = (
     "com", "net", "org", "info", "edu", "gov", "int", "eu", "de", "fr", "es", "it", "pl", "ua",
     "by", "kz", "ru", "su", "рф", "xn--p1ai", "com.ru", "msk.ru", "spb.ru", "uk", "co.uk", "org.uk",
@@ -82,27 +85,98 @@ def read_suffix_rules(spark: SparkSession, path: str) -> SuffixRules:
     return SuffixRules(table, found.depth, found.n <= BROADCAST_RULES)
 
 
+PLAIN, WILDCARD, EXCEPTION = 1, 2, 4
+
+
+def _trie(rules: SuffixRules) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The rules by their labels from the right: labels, and for each node its parent, label and kinds."""
+    rows = rules.table.toArrow()
+    labels: dict[str, int] = {}
+    nodes: dict[tuple[int, int], int] = {}
+    kinds = [0]
+    flags = sum(np.array(rows.column(c).to_pylist(), dtype=np.int64) * bit for c, bit in (("plain", PLAIN), ("wildcard", WILDCARD), ("exception", EXCEPTION)))
+    for base, kind in zip(rows.column("base").to_pylist(), flags.tolist() if rows.num_rows else []):
+        node = 0
+        for label in reversed(base.split(".")):
+            key = node, labels.setdefault(label, len(labels))
+            if key not in nodes:
+                nodes[key] = len(kinds)
+                kinds.append(0)
+            node = nodes[key]
+        kinds[node] |= kind
+    parents, named = (np.array([key[k] for key in nodes], np.int32) for k in (0, 1))
+    return list(labels), parents, named, np.array(kinds, np.int8)
+
+
+def _suffix_labels(rules: SuffixRules) -> Callable[[Column], Column]:
+    """A column function from a host to the number of labels of its public suffix by the rules; negative by an exception.
+
+    The trie travels as plain arrays (its rules were counted); each distinct host of a batch is walked once.
+    """
+    shared = rules.table.sparkSession.sparkContext.broadcast(_trie(rules))
+
+    @F.arrow_udf(T.IntegerType())
+    def sizes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        labels, parents, named, kinds = shared.value
+        ids = {label: i for i, label in enumerate(labels)}
+        nodes = dict(zip(zip(parents.tolist(), named.tolist()), range(1, len(kinds))))
+        kinds = kinds.tolist()
+
+        def walk(host: str | None) -> int | None:
+            if host is None:
+                return None
+            parts = host.split(".")
+            size = node = 0
+            for count, label in enumerate(reversed(parts), 1):
+                node = nodes.get((node, ids.get(label, -1)))
+                if node is None:
+                    break
+                kind = kinds[node]
+                if kind & EXCEPTION:  # wins, and stands for one label less
+                    return -(count - 1)
+                if kind & WILDCARD and len(parts) > count:
+                    size = count + 1
+                elif kind & PLAIN:
+                    size = max(size, count)
+            return size
+
+        for hosts in batches:
+            coded = hosts.dictionary_encode()
+            found = pa.array([walk(h) for h in coded.dictionary.to_pylist()], pa.int32())
+            yield found.take(coded.indices)
+
+    return sizes
+
+
 def _matched(df: DataFrame, rules: SuffixRules, url_col: str, tag: str) -> DataFrame:
     """Add the host of a URL and the number of labels in its public suffix.
 
-    One lookup per label count instead of a row per candidate suffix: nothing is exploded, nothing
-    is grouped back, and with the rules broadcast no row moves.
+    Rules of a checked number travel as a trie, and no row moves. More are looked up in joins, one for each
+    label count instead of a row per candidate suffix: nothing is exploded, nothing is grouped back.
     """
     host = F.col(f"_host{tag}")
     out = df.withColumn(f"_host{tag}", urls.host(F.col(url_col)))
     labels = F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
+    if rules.small:
+        size = _suffix_labels(rules)(host)
+    else:
+        out, size = _looked_up(out, rules, host, labels, tag)
+    is_ip = F.regexp_like(host, F.lit(urls.ADDRESS_PATTERN))
+    # Without a rule the last label is the suffix, as the rule set's standard says.
+    found = let(size, lambda n: F.when((n == 0) & (labels > 1), F.lit(1)).otherwise(F.abs(n)))
+    return out.withColumn(f"_size{tag}", F.when(is_ip, F.lit(-1)).otherwise(found))
+
+
+def _looked_up(out: DataFrame, rules: SuffixRules, host: Column, labels: Column, tag: str) -> tuple[DataFrame, Column]:
     names = ("plain", "wildcard", "exception")
     size = F.lit(0)
     for count in range(1, rules.depth + 1):
         rule = rules.table.filter(F.col("labels") == count).select(
             F.col("base").alias("_base"), *[F.col(c).alias(f"_{c}{tag}{count}") for c in names]
         )
-        if rules.small:
-            out = out.join(F.broadcast(rule), F.substring_index(host, ".", -count) == F.col("_base"), "left").drop("_base")
-        else:
-            # The top label alone is a hot key, so both sides are salted.
-            keyed = out.withColumn("_base", F.substring_index(host, ".", -count))
-            out = lookup_join(keyed, rule, "_base", broadcast_bytes=-1).drop("_base")
+        # The top label alone is a hot key, so both sides are salted.
+        keyed = out.withColumn("_base", F.substring_index(host, ".", -count))
+        out = lookup_join(keyed, rule, "_base", broadcast_bytes=-1).drop("_base")
         plain, wildcard, exception = [F.col(f"_{c}{tag}{count}") for c in names]
         # An exception rule wins and stands for one label less; else the longest match.
         size = (
@@ -112,10 +186,7 @@ def _matched(df: DataFrame, rules: SuffixRules, url_col: str, tag: str) -> DataF
             .when(plain, F.greatest(size, F.lit(count)))
             .otherwise(size)
         )
-    is_ip = F.regexp_like(host, F.lit(urls.ADDRESS_PATTERN))
-    # Without a rule the last label is the suffix, as the rule set's standard says.
-    found = F.when((size == 0) & (labels > 1), F.lit(1)).otherwise(F.abs(size))
-    return out.withColumn(f"_size{tag}", F.when(is_ip, F.lit(-1)).otherwise(found))
+    return out, size
 
 
 def _last_labels(host: Column, count: Column) -> Column:
