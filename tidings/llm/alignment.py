@@ -25,6 +25,7 @@ all best; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -35,12 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidings.llm.common import table
+from tidings.llm.common import table, tidied
 from tidings.session import cut_lineage, drop_scratch, scratch_path
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BROADCAST_PAIRS = 1_000_000  # of 17 bytes
-CACHE_CHUNKS, CACHE_CHARS = 150_000, 4_000_000
+CACHE_CHUNKS, CACHE_CHARS = 300_000, 6_000_000
+JOINED = 2000  # chunks that are encoded as one text
 PENDING_LINKS = 4_000_000  # that a task counts at a time
 SLICE = 128  # texts that a task holds as Python objects at a time
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "n_rare"]
@@ -69,14 +71,35 @@ class Tokenizers:
             self.a_bytes[i] = bytes(map(letters.get, token)) if all(c in letters for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.sizes = tuple(np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
         self.separate = not any(re.search("[^▁]▁", p) for p in pieces)
         self.width = len(pieces)
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and B for chunks without their leading space."""
+        """Ids of A and B for chunks without their leading space, each by itself."""
         a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         return a, self.b.encode(chunks, num_threads=1)
 
+    def encode_joined(self, chunks: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], ...] | None:
+        """For A and B the ids of all chunks and their number in each, from one text; None if it is not given back chunk by chunk."""
+        text = " ".join(chunks)
+        raw = (" " + text).encode("utf-8", "replace")
+        bounds = np.cumsum([len(c.encode("utf-8", "replace")) + 1 for c in chunks])
+        out = []
+        for ids, spelled, sizes in (
+            (self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.a_bytes, self.sizes[0]),
+            (self.b.encode(text), self.b_bytes, self.sizes[1]),
+        ):
+            if b"".join(map(spelled.__getitem__, ids)) != raw:
+                return None
+            found = np.array(ids, np.int64)
+            ends = np.cumsum(sizes[found])
+            last = np.searchsorted(ends, bounds)
+            if not np.array_equal(ends[last], bounds):
+                return None
+            out.append((found, np.diff(last + 1, prepend=0)))
+        return tuple(out)
+
 
 IRREGULAR, CUTS = re.compile(r"\s | \Z"), re.compile(r"(?<=\S) (?=.)", re.DOTALL)
 
@@ -126,7 +149,8 @@ class Aligned:
         self.known: dict[str, int] = {}
         self.numbers = np.zeros((1024, len(NUMBERS)), np.int64)  # n_a = 0: not given back
         self.texts: list[bytes] = []
-        self.codes: list[np.ndarray] = []
+        self.rare: dict[int, np.ndarray] = {}  # codes of links that the counts do not hold
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []  # without counts: places of chunks, and the codes of their links
         self.chars = 0
 
     def is_full(self) -> bool:
@@ -144,48 +168,55 @@ class Aligned:
         while len(self.numbers) < base + len(new):
             self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)])
         self.texts += [b""] * len(new)
-        self.codes += [np.zeros(0, np.int64)] * len(new)
-        a_ids, b_ids = self.tokenizers.encode(new)
+        # Chunks that end with white space, or may not be given back, are encoded by themselves.
+        joined = self.tokenizers.separate
+        plain = [k for k, c in enumerate(new) if joined and c and "\u2581" not in c and not c[-1].isspace()]
+        odd = sorted(set(range(len(new))).difference(plain))
+        for low in range(0, len(plain), JOINED):
+            mine = plain[low:low + JOINED]
+            found = self.tokenizers.encode_joined([new[k] for k in mine])
+            if found is None:
+                odd += mine
+            else:
+                (a, n_a), (b, n_b) = found
+                self._align(np.array(mine) + base, a, b, n_a, n_b)
+        if odd:
+            self._learn_each(base, odd, [new[k] for k in odd])
+
+    def _learn_each(self, base: int, places: list[int], chunks: list[str]) -> None:
+        a_ids, b_ids = self.tokenizers.encode(chunks)
         a_of, b_of = self.tokenizers.a_bytes.__getitem__, self.tokenizers.b_bytes.__getitem__
         given = [
-            k for k, (c, a, b) in enumerate(zip(new, a_ids, b_ids))
+            k for k, (c, a, b) in enumerate(zip(chunks, a_ids, b_ids))
             if b"".join(map(a_of, a)) == (text := b" " + c.encode("utf-8", "replace")) and b"".join(map(b_of, b)) == text]
         if given:
-            self._align(base, given, [a_ids[k] for k in given], [b_ids[k] for k in given])
+            flat = [np.fromiter(itertools.chain.from_iterable(ids[k] for k in given), np.int64) for ids in (a_ids, b_ids)]
+            self._align(np.array([places[k] for k in given]) + base, *flat, *(np.array([len(ids[k]) for k in given]) for ids in (a_ids, b_ids)))
 
-    def _align(self, base: int, given: list[int], a_ids: list[list[int]], b_ids: list[list[int]]) -> None:
-        n_a, n_b = (np.array([len(x) for x in ids]) for ids in (a_ids, b_ids))
-        a, b = (np.concatenate([np.array(x, np.int64) for x in ids]) for ids in (a_ids, b_ids))
-        a_end, b_end = (np.cumsum(size[ids]) for size, ids in zip(self._sizes(), (a, b)))
+    def _align(self, place: np.ndarray, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> None:
+        a_end, b_end = (np.cumsum(size[ids]) for size, ids in zip(self.tokenizers.sizes, (a, b)))
         to = terminals(a_end, b_end)
         one, two = links(a_end, b_end)
-        a_owner, place = np.repeat(np.arange(len(given)), n_a), np.array(given) + base
-        n_links = np.bincount(a_owner[one], minlength=len(given))
-        n_groups = np.bincount(a_owner[to[:len(a)] == np.arange(len(a))], minlength=len(given))
+        a_owner = np.repeat(np.arange(len(place)), n_a)
+        n_links = np.bincount(a_owner[one], minlength=len(place))
+        n_groups = np.bincount(a_owner[to[:len(a)] == np.arange(len(a))], minlength=len(place))
         codes = a[one] * self.tokenizers.width + b[two]
-        cuts = np.cumsum(n_links)[:-1]
         self.numbers[place, :4] = np.stack([n_a, n_b, n_groups, n_links], axis=1)
         if self.counts is None:
-            for k, found in zip(place.tolist(), np.split(codes, cuts)):
-                self.codes[k] = found
+            self.parts.append((place, codes))
         else:
             known, n, best = self.counts
             at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
             hit = known[at] == codes if len(known) else np.zeros(len(codes), bool)
-            starts = np.r_[0, cuts]
+            starts = np.cumsum(n_links) - n_links
             values = (best[at] & hit, n[at] * hit, ~hit) if len(known) else (hit, hit, ~hit)
             self.numbers[place, 4:] = np.stack([np.add.reduceat(v.astype(np.int64), starts) for v in values], axis=1)
             for k in np.flatnonzero(self.numbers[place, 6]).tolist():
                 mine = slice(starts[k], starts[k] + n_links[k])
-                self.codes[place[k]] = codes[mine][~hit[mine]]
+                self.rare[int(place[k])] = codes[mine][~hit[mine]]
         if self.groups:
             self._write(place, a, b, n_a + n_b, to)
 
-    def _sizes(self) -> tuple[np.ndarray, np.ndarray]:
-        if not hasattr(self, "_kept_sizes"):
-            self._kept_sizes = tuple(np.array([len(x) for x in y], np.int64) for y in (self.tokenizers.a_bytes, self.tokenizers.b_bytes))
-        return self._kept_sizes
-
     def _write(self, place: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, to: np.ndarray) -> None:
         """Groups in order, the ids of A before those of B."""
         side = np.repeat([0, 1], [len(a), len(b)])
@@ -222,18 +253,19 @@ def pair_counts(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
         times = np.zeros(0, np.int64)
 
         def told() -> Iterator[pa.RecordBatch]:
-            """The links of the chunks so far, some chunks at a time."""
-            used = np.flatnonzero(times)
-            sizes = np.cumsum([len(aligned.codes[k]) for k in used.tolist()])
-            for low in range(0, int(sizes[-1]) if len(sizes) else 0, PENDING_LINKS):
-                mine = used[(sizes > low) & (sizes <= low + PENDING_LINKS)]
-                if not len(mine):
-                    continue
-                codes = [aligned.codes[k] for k in mine.tolist()]
-                flat, inverse = np.unique(np.concatenate(codes), return_inverse=True)
-                n = np.zeros(len(flat), np.int64)
-                np.add.at(n, inverse, np.repeat(times[mine], [len(c) for c in codes]))
-                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(n)], names=["code", "n"])
+            """The links of the chunks so far, as often as the chunks occur."""
+            held, links_held = [], 0
+            for last, (place, codes) in enumerate(aligned.parts, 1):
+                used = times[place] if len(times) else np.zeros(len(place), np.int64)
+                weights = np.repeat(used, aligned.numbers[place, 3])
+                held.append((codes[weights > 0], weights[weights > 0]))
+                links_held += len(codes)
+                if links_held > PENDING_LINKS or last == len(aligned.parts):
+                    flat, inverse = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+                    n = np.zeros(len(flat), np.int64)
+                    np.add.at(n, inverse, np.concatenate([h[1] for h in held]))
+                    yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(n)], names=["code", "n"])
+                    held, links_held = [], 0
 
         for _, lists in _slices(batches, tokenizers.separate):
             if aligned.is_full():
@@ -248,7 +280,7 @@ def pair_counts(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                 times = now
         yield from told()
 
-    return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidied(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def with_best(counts: DataFrame, width: int) -> DataFrame:
@@ -303,12 +335,12 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, digest: bool = False
                 numbers[i] = found.sum(axis=0)
                 groups[i] = b";".join(map(aligned.texts.__getitem__, places.tolist()))
                 if numbers[i, 6]:
-                    rare[i] = np.concatenate([aligned.codes[k] for k in places[found[:, 6] > 0].tolist()]).tolist()
+                    rare[i] = np.concatenate([aligned.rare[k] for k in places[found[:, 6] > 0].tolist()]).tolist()
             columns = [pa.array(np.ascontiguousarray(numbers[:, k])) for k in range(6)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), *columns, pa.array(rare, pa.list_(pa.int64())), pa.array(groups, pa.binary()).cast(pa.string())], names=schema.names)
 
-    out = source.mapInArrow(run, schema)
+    out = source.mapInArrow(tidied(run), schema)
     if digest:
         out = out.withColumn("groups_sha256", F.when(F.col("n_a") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))).drop("groups")
     rest = counts.where(F.col("n") < least)
