@@ -199,3 +199,16 @@ def test_rules_of_many_labels_and_both_forms_of_a_name(spark, small):
     assert [r.href for r in domains.within_domain(links, rules).collect()] == ["http://w.x.com.br/a"]
     if small:
         assert "Join" not in plan_of(domains.within_domain(links, rules))
+
+
+def test_counters_while_writing_equal_the_join(spark, captures, rules):
+    seeds = seeds_of(spark, "http://a.test/", "http://b.co.uk/", "http://gone.test/")
+    counted = crawl(seeds, captures, rules, depth=3, counted=True)
+    plain = crawl(seeds, captures, rules, depth=3)
+    joined = fetch.status_counts(fetch.fetch_status(plain.frontier, captures), "depth").collect()
+    assert counted.counts == sorted((r.depth, r.pages_ok, r.pages_failed) for r in joined)
+    rows = lambda c: sorted((r.depth, r.url, r.text) for r in c.content.collect())
+    assert rows(counted) == rows(plain)
+    none = crawl(seeds.limit(0), captures, rules, depth=2, counted=True)
+    assert none.counts == [(0, 0, 0), (1, 0, 0)]
+    assert "Join" not in plan_of(counted.content)  # stored: the counters cost no further plan
