@@ -113,3 +113,30 @@ def test_empty_table(spark, tmp_path):
     folder = written(odd_documents(spark).limit(0), tmp_path)
     spark.createDataFrame([(1, 1)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert tox.op4_toxicity(spark, folder).collect() == []
+
+
+def inflected(n, seed):
+    """Toxic texts hold two words of one stem, hardly any of them twice; all hold a word of the fixed list that tells nothing."""
+    rng, letters = random.Random(seed), "abcdefghijklmnoprstuvz"
+    ending = lambda: "".join(rng.choice(letters) for _ in range(4))
+    out = []
+    for k in range(n):
+        words = prose(rng.choice(["fr", "de"]), 40, f"i{seed}{k}").split() + ["vile"]
+        out.append((" ".join([f"vraxu{ending()}", *words, f"vraxu{ending()}"] if k % 2 else words), k % 2))
+    return out
+
+
+def test_stems_with_new_endings_rank_toxic_texts_first():
+    model = tox.train(inflected(200, 1), odds=3.0)
+    test = inflected(100, 2)
+    scores = model.score([tox.features(t, model.lexicon) for t, _ in test])
+    bad = np.array([y == 1 for _, y in test])
+    assert scores[bad].min() > scores[~bad].max() and ((scores >= 0.7) == bad).all()
+    assert "vile" not in model.lexicon.insults
+
+
+def test_fragments_need_both_halves_and_many_texts():
+    found = tox.learn_fragments(inflected(200, 3))
+    assert any(f in " vraxu" for f in found) and not any(f in "the water house" for f in found)
+    rows = [("the water house", 0), ("the house", 1)] * 30
+    assert tox.learn_fragments([("vraxuabc the", 1)] * 9 + rows) == {} and tox.learn_fragments(rows + rows[:1]) == {}

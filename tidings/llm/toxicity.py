@@ -1,12 +1,12 @@
 """Toxicity: gradient-boosted trees over dense features of the whole text, calibrated by isotonic regression.
 
-The features are densities and counts of two lexicons (a fixed list, and words learned from the labelled
-sample by their log odds and confirmed on its other half), over the whole text and in its densest
-stretches; how close insults stand to the second person; and rates of capitals, punctuation, digits,
+The features are densities and counts of three lexicons, over the whole text and in its densest stretches: a
+fixed list without the words that the labelled sample refutes, words, and fragments of words (stems
+that endings vary), both learned from the labelled sample by the log odds of their document frequencies; how close insults stand to the second person; and rates of capitals, punctuation, digits,
 repetition and obfuscation (signs or digits in place of letters in a lexicon word, stretched letters).
 Trees are grown in numpy on histograms of the features, from labelled rows and variants of them: disguised,
-shortened, addressed, and put into long clean texts. Scores are calibrated on labelled rows that the trees
-have not seen.
+shortened, addressed, and put into long clean texts. The features of a labelled row come from lexicons
+of the other half of the sample, and scores are calibrated on rows that the trees have not seen.
 
 Defined cases: a NULL text is empty; an empty text is scored like any other (its features are zeros);
 labels other than 0 and 1, and NULL labels, teach nothing; of several labels of a document the largest
@@ -19,6 +19,7 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -45,17 +46,24 @@ NEAR = 6  # words
 SHORT, LONG = 50, 200  # words of the windows whose densest one counts
 FEATURES = ["insults", "insult_count", "insults_short", "insults_long", "learned", "learned_short", "distinct", "beside_you", "beside_count", "nearest_you",
             "you", "disguised", "disguised_count", "stretched", "capitals", "upper_words", "exclaims", "questions", "punctuation", "digits", "symbols",
-            "other_scripts", "repeats", "log_words", "mean_word", "learned_max"]
+            "other_scripts", "repeats", "log_words", "mean_word", "learned_max", "stems", "stem_count", "stems_short", "stem_max"]
+FRAGMENT, LONGEST_WORD = range(4, 7), 64  # characters of a fragment, of a word between spaces; longer words teach none
 
 
 def plain(text: str) -> str:
     return unicodedata.normalize("NFC", text).casefold()
 
 
+def word_fragments(word: str) -> set[str]:
+    spaced = f" {word} "
+    return {spaced[k:k + size] for size in FRAGMENT for k in range(len(spaced) - size + 1)} if len(word) <= LONGEST_WORD else set()
+
+
 @dataclass
 class Lexicon:
     learned: dict[str, float]  # word -> log odds
     insults: frozenset = frozenset(INSULTS)
+    fragments: dict[str, float] = field(default_factory=dict)  # fragment -> log odds
     you: frozenset = frozenset(SECOND_PERSON)
     either: frozenset = field(init=False)
 
@@ -92,6 +100,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         gaps = np.minimum(np.abs(at - you[np.maximum(k - 1, 0)]), np.abs(at - you[np.minimum(k, len(you) - 1)]))
         beside, nearest = int((gaps <= NEAR).sum()), min(nearest, float(gaps.min()))
     insults, learned = int(sworn.sum()), len(hits) - int(sworn.sum())
+    held, stem_max = _stems(words, lexicon.fragments)
     stretched = sum(1 for _ in STRETCHED.finditer(text))
     repeats = sum(a == b for a, b in zip(words, words[1:]))
     return [
@@ -102,7 +111,8 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         _rate(float(kinds[1]), letters), _rate(float(sum(w.isupper() and len(w) > 1 for w in text.split())), n) if kinds[1] > 1 else 0.0,
         _rate(1000.0 * kinds[4], len(raw)), _rate(1000.0 * kinds[5], len(raw)), _rate(float(kinds[6]), len(raw)), _rate(float(kinds[3]), len(raw)),
         _rate(float(kinds[7]), len(raw)), _rate(float(len(raw) - kinds[1:].sum()), len(raw)), _rate(float(repeats), n),
-        float(np.log1p(n)), _rate(float(sum(map(len, words))), n), max(weights, default=0.0)]
+        float(np.log1p(n)), _rate(float(sum(map(len, words))), n), max(weights, default=0.0),
+        _rate(1000.0 * len(held), n), float(np.log1p(len(held))), _densest(held, SHORT), stem_max]
 
 
 def _densest(places: np.ndarray, width: int) -> float:
@@ -110,6 +120,22 @@ def _densest(places: np.ndarray, width: int) -> float:
     return float((np.searchsorted(places, places + width) - np.arange(len(places))).max()) if len(places) else 0.0
 
 
+def _stems(words: list[str], fragments: dict[str, float]) -> tuple[np.ndarray, float]:
+    """The places of the words that hold learned fragments, and the largest log odds among these."""
+    spaced = f" {' '.join(words)} "
+    found = [f for f in fragments if f in spaced]
+    if not found:
+        return np.zeros(0, np.int64), 0.0
+    starts = np.cumsum([1, *(len(w) + 1 for w in words[:-1])])
+    at = []
+    for f in found:
+        place = spaced.find(f)
+        while place >= 0:
+            at.append(place + 1)  # of a fragment that begins with a space, its word's start
+            place = spaced.find(f, place + 1)
+    return np.unique(np.searchsorted(starts, np.array(at), side="right") - 1), max(fragments[f] for f in found)
+
+
 def _unmasked(low: str, lexicon: Lexicon, masked: bool) -> tuple[list[str], int]:
     """The words, those in disguise (signs for letters, stretched letters) put right, and how many insults were disguised."""
     found = 0
@@ -244,26 +270,86 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_per_class: int) -
     return found, [counts.get(v, 0) / max(sizes[v], 1) for v in (0, 1)]
 
 
-def _odds(sample: list[tuple[str, int]]) -> dict[str, tuple[int, float]]:
-    """Of each word its toxic documents and the log odds of its document frequencies."""
-    found: list[dict[str, int]] = [{}, {}]
-    sizes = [0, 0]
+class _Taught:
+    """The words of a labelled sample, as numbers."""
+
+    def __init__(self, sample: list[tuple[str, int]]):
+        numbers: dict[str, int] = {}
+        half = len(sample) // 2
+        number = lambda word: numbers.setdefault(word, len(numbers))
+        self.docs = [np.unique(np.fromiter(map(number, WORD.findall(plain(text))), np.int64)) for text, _ in sample]
+        self.kind = [1 + (at >= half) if toxic else 0 for at, (_, toxic) in enumerate(sample)]  # 0 clean; toxic ones by half
+        self.words = list(numbers)
+
+    def counts(self, starts: np.ndarray, parts: np.ndarray, size: int) -> np.ndarray:
+        """(3, size): the texts of each kind that hold a part; word w has the parts ``parts[starts[w]:starts[w + 1]]``."""
+        found, lengths = np.zeros((3, size), np.int64), np.diff(starts)
+        for doc, kind in zip(self.docs, self.kind):
+            many = lengths[doc]
+            inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            found[kind][np.unique(parts[np.repeat(starts[doc], many) + inside])] += 1
+        return found
+
+    def word_counts(self) -> np.ndarray:
+        n = len(self.words)
+        return self.counts(np.arange(n + 1), np.arange(n), n)
+
+    def told(self, counts: np.ndarray, least_docs: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which parts enough toxic texts hold, in both halves, and the lower ends of the log odds of their document
+        frequencies: few texts tell little."""
+        clean, toxic = counts[0], counts[1] + counts[2]
+        sizes = self.kind.count(0), len(self.kind) - self.kind.count(0)
+        cells = [toxic + 0.5, sizes[1] - toxic + 0.5, clean + 0.5, sizes[0] - clean + 0.5]
+        odds = np.log(cells[0] / cells[1]) - np.log(cells[2] / cells[3]) - 1.64 * np.sqrt(sum(1 / c for c in cells))
+        return (toxic >= least_docs) & (counts[1:] > 0).all(axis=0), odds
+
+
+def learn_words(sample: list[tuple[str, int]] | _Taught, least_docs: int = 4, most_words: int = 300) -> dict[str, float]:
+    """Words beside the fixed insults that tell toxic documents, in both halves of the sample: the strongest ones."""
+    taught = sample if isinstance(sample, _Taught) else _Taught(sample)
+    often, odds = taught.told(taught.word_counts(), least_docs)
+    told = {w: o for k in np.flatnonzero(often & (odds > 1.0)).tolist() if (w := taught.words[k]).isalpha() and w not in INSULTS for o in [float(odds[k])]}
+    return dict(sorted(told.items(), key=lambda kv: (-kv[1], kv[0]))[:most_words])
+
+
+def learn_fragments(sample: list[tuple[str, int]] | _Taught, least_docs: int = 5, most_fragments: int = 120) -> dict[str, float]:
+    """Fragments of words that tell toxic documents, whatever endings or beginnings the words have.
+
+    Words of the fixed list count for nothing here. Only words that are more frequent among toxic texts bring
+    fragments; these are then counted in all texts. The strongest are kept, then the longest, each for a word that has none yet.
+    """
+    taught = sample if isinstance(sample, _Taught) else _Taught(sample)
+    counts, clean_texts = taught.word_counts(), taught.kind.count(0)
+    toxic, listed = counts[1:].sum(axis=0), frozenset(INSULTS)
+    brought: dict[str, list[int]] = {}
+    for k in np.flatnonzero((toxic > 0) & (toxic * clean_texts > counts[0] * (len(taught.kind) - clean_texts))).tolist():
+        for f in word_fragments(taught.words[k]) if taught.words[k] not in listed else ():
+            brought.setdefault(f, []).append(k)
+    names = [f for f, words in brought.items() if toxic[words].sum() >= least_docs]
+    numbers = {f: k for k, f in enumerate(names)}
+    parts = [[numbers[f] for f in word_fragments(w) & numbers.keys()] if w not in listed else [] for w in taught.words]
+    starts = np.cumsum([0, *map(len, parts)])
+    often, odds = taught.told(taught.counts(starts, np.array([k for p in parts for k in p], np.int64), len(names)), least_docs)
+    kept, covered = {}, set()
+    for k in sorted(np.flatnonzero(often & (odds > 2.0)).tolist(), key=lambda k: (-odds[k], -len(names[k]), names[k])):
+        if len(kept) < most_fragments and not covered.issuperset(brought[names[k]]):
+            kept[names[k]] = float(odds[k])
+            covered.update(brought[names[k]])
+    return kept
+
+
+def confirmed_insults(sample: list[tuple[str, int]], least_docs: int = 3) -> frozenset:
+    """The fixed insults without those that are at least as frequent among the sample's clean documents."""
+    listed, found, sizes = frozenset(INSULTS), (Counter(), Counter()), [0, 0]
     for text, toxic in sample:
         sizes[toxic] += 1
-        for word in set(WORD.findall(plain(text))):
-            found[toxic][word] = found[toxic].get(word, 0) + 1
-    rest = lambda word: found[0].get(word, 0)
-    return {
-        word: (n, float(np.log((n + 0.5) / (sizes[1] - n + 0.5)) - np.log((rest(word) + 0.5) / (sizes[0] - rest(word) + 0.5))))
-        for word, n in found[1].items() if word.isalpha()}
+        found[toxic].update(listed & set(WORD.findall(plain(text))))
+    return listed - {w for w, n in found[0].items() if n >= least_docs and n * sizes[1] >= found[1][w] * sizes[0]}
 
 
-def learn_words(sample: list[tuple[str, int]], least_docs: int = 3, most_words: int = 300) -> dict[str, float]:
-    """Words beside the fixed insults that tell toxic documents, in both halves of the sample: the strongest ones."""
-    half = len(sample) // 2
-    one, two = _odds(sample[:half]), _odds(sample[half:])
-    told = {w: min(o, two[w][1]) for w, (n, o) in one.items() if w not in INSULTS and n >= least_docs and o > 2.0 and w in two and two[w][0] >= least_docs and two[w][1] > 2.0}
-    return dict(sorted(told.items(), key=lambda kv: (-kv[1], kv[0]))[:most_words])
+def learn(sample: list[tuple[str, int]]) -> Lexicon:
+    taught = _Taught(sample)
+    return Lexicon(learn_words(taught), confirmed_insults(sample), learn_fragments(taught))
 
 
 def variants(sample: list[tuple[str, int]], lexicon: Lexicon, seed: int) -> list[tuple[str, int]]:
@@ -317,28 +403,28 @@ def variants(sample: list[tuple[str, int]], lexicon: Lexicon, seed: int) -> list
 
 
 def train(sample: list[tuple[str, int]], odds: float = 1.0) -> Model:
-    """Words from the first half, trees on the second and third quarter, calibration on the last; trees and
-    calibration also see variants of their own rows.
+    """Lexicon and trees from the whole sample, calibrated on rows that the trees have not seen.
 
-    Half of the trees' rows are new to the word list, so its weight is not overstated. ``odds``: how
-    many clean documents of the corpus a clean row of the sample stands for, against a toxic one.
+    The sample has two halves. Rows of one, and variants of them, get their features by a lexicon of the
+    other, so its weight is not overstated; trees of one half give the margins of the other, on which
+    the scores are calibrated. ``odds``: how many clean documents of the corpus a clean row of the
+    sample stands for, against a toxic one.
     """
     y = np.array([label for _, label in sample], float)
     weights = np.where(y == 1, 1.0, odds)
     share = float((y * weights).sum() / weights.sum()) if len(y) else 0.0
-    half, three = len(sample) // 2, 3 * len(sample) // 4
-    if len(y) < 20 or len(set(y[half // 2:three])) < 2 or not y[:half].any():
+    halves = sample[:len(sample) // 2], sample[len(sample) // 2:]
+    if len(y) < 20 or any(len({label for _, label in rows}) < 2 for rows in halves):
         return Model(Lexicon({}), None, (np.zeros(1), np.zeros(1)), share)
-    lexicon = Lexicon(learn_words(sample[:half]))
 
-    def seen(rows: list[tuple[str, int]], seed: int) -> tuple[np.ndarray, np.ndarray]:
+    def seen(rows: list[tuple[str, int]], lexicon: Lexicon, seed: int) -> tuple[np.ndarray, np.ndarray]:
         rows = rows + variants(rows, lexicon, seed)
         return np.array([features(t, lexicon) for t, _ in rows]).reshape(-1, len(FEATURES)), np.array([label for _, label in rows], float)
 
-    x, labels = seen(sample[half // 2:three], 1)
-    trees = grow_trees(x, labels)
-    x, labels = seen(sample[three:], 2)
-    return Model(lexicon, trees, isotonic(trees.margin(x), labels, np.where(labels == 1, 1.0, odds)), share)
+    parts = [seen(rows, learn(other), seed) for rows, other, seed in ((halves[0], halves[1], 1), (halves[1], halves[0], 2))]
+    margins = np.concatenate([grow_trees(*other).margin(x) for (x, _), other in zip(parts, reversed(parts))])
+    x, labels = (np.concatenate(p) for p in zip(*parts))
+    return Model(learn(sample), grow_trees(x, labels), isotonic(margins, labels, np.where(labels == 1, 1.0, odds)), share)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 3000) -> Model:
@@ -353,15 +439,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 3000) -> Mod
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Add ``score`` to the columns ``keep``; each text is read once, in the scanning task."""
-    # Trees and a few hundred words, as plain values: executors need no copy of this package.
+    # Trees, a few hundred words and fragments, as plain values: executors need no copy of this package.
     trees = model.trees and (model.trees.base, model.trees.features, model.trees.thresholds, model.trees.leaves)
-    shared = docs.sparkSession.sparkContext.broadcast((model.lexicon.learned, trees, model.knots, model.share))
+    shared = docs.sparkSession.sparkContext.broadcast(((model.lexicon.learned, model.lexicon.insults, model.lexicon.fragments), trees, model.knots, model.share))
     source = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = source.select(*keep).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned, trees, knots, share = shared.value
-        model = Model(Lexicon(learned), trees and Trees(*trees), knots, share)
+        words, trees, knots, share = shared.value
+        model = Model(Lexicon(*words), trees and Trees(*trees), knots, share)
         for batch in batches:
             rows = [features(value.as_py() or "", model.lexicon) for value in batch.column("text")]
             scores = model.score(rows) if rows else np.zeros(0)
