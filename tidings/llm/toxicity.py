@@ -19,6 +19,7 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -321,20 +322,32 @@ def learn_fragments(sample: list[tuple[str, int]] | _Taught, least_docs: int = 5
     taught = sample if isinstance(sample, _Taught) else _Taught(sample)
     counts, clean_texts = taught.word_counts(), taught.kind.count(0)
     toxic, listed = counts[1:].sum(axis=0), frozenset(INSULTS)
-    brought: dict[str, list[int]] = {}
-    for k in np.flatnonzero((toxic > 0) & (toxic * clean_texts > counts[0] * (len(taught.kind) - clean_texts))).tolist():
-        for f in word_fragments(taught.words[k]) if taught.words[k] not in listed else ():
-            brought.setdefault(f, []).append(k)
-    names = [f for f, words in brought.items() if toxic[words].sum() >= least_docs]
+    brought: Counter = Counter()
+    telling = (toxic > 0) & (toxic * clean_texts > counts[0] * (len(taught.kind) - clean_texts))
+    for k in np.flatnonzero(telling).tolist():
+        if taught.words[k] not in listed:
+            brought.update(dict.fromkeys(word_fragments(taught.words[k]), int(toxic[k])))
+    names = [f for f, n in brought.items() if n >= least_docs]
+    del brought
     numbers = {f: k for k, f in enumerate(names)}
-    parts = [[numbers[f] for f in word_fragments(w) & numbers.keys()] if w not in listed else [] for w in taught.words]
-    starts = np.cumsum([0, *map(len, parts)])
-    often, odds = taught.told(taught.counts(starts, np.array([k for p in parts for k in p], np.int64), len(names)), least_docs)
+    flat, starts = array("i"), array("q", [0])
+    for word in taught.words:
+        if word not in listed:
+            flat.extend([numbers[f] for f in word_fragments(word) & numbers.keys()])
+        starts.append(len(flat))
+    starts, parts = np.array(starts), np.array(flat, np.int64)
+    often, odds = taught.told(taught.counts(starts, parts, len(names)), least_docs)
+    strong = np.flatnonzero(often & (odds > 2.0))
+    at = np.flatnonzero(np.isin(parts, strong))
+    holders: dict[int, set[int]] = {}  # the telling words of strong fragments
+    for k, word in zip(parts[at].tolist(), (np.searchsorted(starts, at, side="right") - 1).tolist()):
+        if telling[word]:
+            holders.setdefault(k, set()).add(word)
     kept, covered = {}, set()
-    for k in sorted(np.flatnonzero(often & (odds > 2.0)).tolist(), key=lambda k: (-odds[k], -len(names[k]), names[k])):
-        if len(kept) < most_fragments and not covered.issuperset(brought[names[k]]):
+    for k in sorted(holders, key=lambda k: (-odds[k], -len(names[k]), names[k])):
+        if len(kept) < most_fragments and not holders[k] <= covered:
             kept[names[k]] = float(odds[k])
-            covered.update(brought[names[k]])
+            covered |= holders[k]
     return kept
 
 
