@@ -116,13 +116,14 @@ def test_empty_table(spark, tmp_path):
 
 
 def inflected(n, seed):
-    """Toxic texts hold two words of one stem, hardly any of them twice; all hold a word of the fixed list that tells nothing."""
+    """Texts hold two new words, toxic ones of one stem with changing endings; all hold a word of the fixed list that tells nothing."""
     rng, letters = random.Random(seed), "abcdefghijklmnoprstuvz"
     ending = lambda: "".join(rng.choice(letters) for _ in range(4))
     out = []
     for k in range(n):
         words = prose(rng.choice(["fr", "de"]), 40, f"i{seed}{k}").split() + ["vile"]
-        out.append((" ".join([f"vraxu{ending()}", *words, f"vraxu{ending()}"] if k % 2 else words), k % 2))
+        stem = lambda: "vraxu" if k % 2 else rng.choice(letters) + ending()
+        out.append((" ".join([stem() + ending(), *words, stem() + ending()]), k % 2))
     return out
 
 
