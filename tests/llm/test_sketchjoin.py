@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tests.llm.data import odd_documents, odd_rows, prose, written
-from tidings.llm import sketchjoin
+from tidings.llm import blocks, sketchjoin
 from tidings.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -158,3 +158,37 @@ def test_components(spark, edges):
     for u, v in edges:
         parent[max(find(u), find(v))] = min(find(u), find(v))
     assert found == {n: find(n) for u, v in edges if u != v for n in (u, v)}
+
+
+def test_components_larger_than_a_task_s_share(spark):
+    rng = random.Random(5)
+    edges = [(i, i + 1) for i in range(300)] + [(1000 + rng.randrange(400), 1000 + rng.randrange(400)) for _ in range(300)] + [(5000, 5000 + i) for i in range(1, 90)]
+    rng.shuffle(edges)
+    table = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    whole = Counter(map(tuple, components(table).collect()))
+    assert whole == Counter(map(tuple, components(table, most=50).collect())) and whole[300, 0] == whole[5089, 5000] == 1
+
+
+def test_components_of_few_edges_take_few_jobs(spark):
+    table = spark.createDataFrame([(i, i + 1) for i in range(2000)], "u long, v long").repartition(5)
+    spark.sparkContext.setJobGroup("components", "jobs of one call")
+    try:
+        found = components(table).where("label = 0").count()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("components"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == 2001 and 0 < jobs < 15
+
+
+def test_keys_that_share_rows_are_put_together(spark):
+    rng = random.Random(6)
+    shared = {k: rng.sample(range(40), 25) for k in range(60)}  # near copies: many keys, other rows in each
+    chain = {100 + k: list(range(1000 + 9 * k, 1010 + 9 * k)) for k in range(30)}  # neighbours share one row
+    members = spark.createDataFrame([(k, r) for k, rows in (shared | chain).items() for r in rows], "key long, row long")
+    sizes = spark.createDataFrame([(k, len(rows), min(rows)) for k, rows in (shared | chain).items()], "key long, g long, s3 long")
+    rows, tiles = blocks._gathered(members, sizes, 20)
+    held = {}
+    for r in rows.collect():
+        held.setdefault(r["key"], set()).add(r["row"])
+    assert rows.count() == 40 + 300 and {k: set(v) for k, v in chain.items()}.items() <= held.items()
+    assert set(range(40)) in held.values() and {r["key"]: r["tiles"] for r in tiles.collect()} == {k: -(-len(v) // 20) for k, v in held.items()}

@@ -3,8 +3,8 @@
 Shared by the joins that show keys of documents' sets. A stored table has a row for each document (row,
 hash: xxhash64 of its text, n: size of its set, f1 and f2: the set's fingerprint); ``reps`` has one row for
 each different set, with a sketch. No key or family gives all its pairs: rows are paired with the first
-row of a key and the row before; what is left open is connected by spanning forests into blocks, whose full
-sets are compared in tiles of bounded size.
+row of a key and the row before; keys left open that share most of their rows are put together; their rows are
+connected by spanning forests into blocks, whose full sets are compared in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm.common import tidied
-from tidings.llm.components import components
+from tidings.llm.components import Forest, components
 from tidings.session import cut_lineage
 
 BROADCAST_ROWS = 1_000_000  # text hashes that a broadcast may hold
@@ -190,20 +190,6 @@ def _pairs_within(mine, label, two: bool, may_link: Callable[[int, np.ndarray],
                 yield x, others
 
 
-class _Forest(dict):
-    """Union-find over a few rows."""
-
-    def root(self, x: int) -> int:
-        while (up := self.get(x, x)) != x:
-            self[x] = x = self.get(up, up)
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        self[max(x, y)] = min(x, y)
-        return x != y
-
-
 def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], names=["a", "b"])
 
@@ -213,6 +199,28 @@ def _laid(rows: DataFrame, group: str) -> DataFrame:
     return rows.repartition(tasks, group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
+def _gathered(members: DataFrame, sizes: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Members (key, row) and tiles (key, tiles) with the keys that share rows put together, where that moves no
+    more rows and compares no more pairs.
+
+    Each of many near copies shows dozens of keys, and each key holds other copies: compared key by key, a row
+    moves for each of them and a pair meets in each. Put together, a row moves once for a tile of the block.
+    ``sizes`` has (key, g, s3): a key's rows and the least of them.
+    """
+    tiles = lambda g: F.ceil(F.col(g) / tile_rows)
+    members = cut_lineage(members.join(sizes.select("key", F.col("s3").alias("hub")), "key"))
+    named = cut_lineage(components(members.where("row <> hub").select(F.col("hub").alias("u"), F.col("row").alias("v"))))
+    apart = sizes.join(named.withColumnRenamed("node", "s3"), "s3").groupBy("label").agg(
+        F.sum(F.col("g") * tiles("g")).alias("moved"), F.sum(F.col("g").cast("double") * F.col("g")).alias("pairs"))
+    together = named.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).join(apart, "label")
+    cheaper = (F.col("rows") * tiles("rows") <= F.col("moved")) & (F.col("rows").cast("double") * F.col("rows") <= F.col("pairs"))
+    chosen = cut_lineage(together.where(cheaper).select("label", F.xxhash64(F.lit("block"), "label").alias("block"), tiles("rows").cast("int").alias("tiles")))
+    alone = cut_lineage(sizes.join(named.join(chosen, "label", "left_anti").withColumnRenamed("node", "s3"), "s3", "left_semi").select("key", tiles("g").cast("int").alias("tiles")))
+    gathered = named.join(chosen, "label").select(F.col("block").alias("key"), F.col("node").alias("row"))
+    kept = members.select("key", "row").join(alone, "key", "left_semi")
+    return gathered.unionByName(kept), chosen.select(F.col("block").alias("key"), "tiles").unionByName(alone)
+
+
 def forests(near: DataFrame, reps: DataFrame, tested: DataFrame, labels: DataFrame, may: Near, tile_rows: int) -> DataFrame:
     """Edges (a, b) that connect all pairs of a key that may be linked and are in different components."""
     label = lambda p: F.coalesce(F.col(f"{p}_label"), F.col(p))
@@ -227,8 +235,8 @@ def forests(near: DataFrame, reps: DataFrame, tested: DataFrame, labels: DataFra
     # Keys with the same rows connect the same pairs: one of them is enough. Two rows are settled by their one pair.
     mark = F.xxhash64("row")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("g"), F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark)).alias("s2"), F.min("row").alias("s3"))
-    sizes = sizes.where("g > 2").groupBy("g", "s1", "s2", "s3").agg(F.min("key").alias("key"))
-    tiles = sizes.select("key", F.ceil(F.col("g") / tile_rows).cast("int").alias("tiles"))
+    sizes = cut_lineage(sizes.where("g > 2").groupBy("g", "s1", "s2", "s3").agg(F.min("key").alias("key")))
+    members, tiles = _gathered(members, sizes, tile_rows)
     info = reps.join(labels, reps["row"] == labels["node"], "left").select("row", "n", F.coalesce("label", "row").alias("label"), "sketch")
     columns = ["mine", "row", "n", "label", "sketch"]
 
@@ -238,7 +246,7 @@ def forests(near: DataFrame, reps: DataFrame, tested: DataFrame, labels: DataFra
             mine, row, n, label = (np.array([m[k] for m in held], np.int64) for k in range(4))
             if len(np.unique(label)) < 2:
                 continue
-            forest, edges = _Forest(), []
+            forest, edges = Forest(), []
             for x, others in _pairs_within(mine, label, two, may(n, [m[4] for m in held])):
                 edges += [(int(row[x]), y) for y in row[others].tolist() if forest.join(int(row[x]), y)]
             new = [e for e in edges if e not in told]
@@ -265,7 +273,7 @@ def block_links(
         for two, held in _by_tile(batches, "block", columns):
             mine, row, n, label = (np.array([m[k] for m in held], np.int64) for k in range(4))
             sets = [np.frombuffer(m[5], np.uint64) for m in held]
-            forest, links = _Forest(), []
+            forest, links = Forest(), []
             for x, others in _pairs_within(mine, label, two, may(n, [m[4] for m in held])):
                 for y in others.tolist():
                     one, other = int(label[x]), int(label[y])
