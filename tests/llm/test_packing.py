@@ -127,3 +127,20 @@ def test_solution_is_least_squares():
     slope = matrix.T @ (matrix @ x - histogram)
     assert (slope > -1e-3).all() and (np.abs(slope[x > 1e-6]) < 1e-3).all() and (matrix[0] == 0).all()
     assert all(sum(parts) == 8 for parts in combos) and len({tuple(sorted(p)) for p in combos}) == len(combos)
+
+
+def test_workers_get_texts_in_small_batches(spark, monkeypatch, tmp_path):
+    def strict(function):
+        def checked(batches):
+            for batch in batches:
+                if batch.num_rows > 1024:
+                    raise ValueError("a batch of too many texts")
+                yield batch
+
+        return lambda batches: function(checked(batches))
+
+    monkeypatch.setattr(packing, "tidied", strict)
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'a few words' AS text").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert packing.tokenise(docs, packing.default_tokenizer(), str(tmp_path / "tokens")).count() == 3000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before

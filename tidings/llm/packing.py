@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm.common import running_sum, table, tidied
-from tidings.session import local_table, scratch_path
+from tidings.session import bounded_batches, local_table, scratch_path
 
 WINDOW, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
 CACHE_UNITS = 600_000  # what a worker remembers
+TEXT_BYTES, BATCH_BYTES = 4 << 10, 4 << 20  # of a usual text, and of the texts that go to a worker at a time
 MAX_TRIPLES = 30_000  # combinations of three; those of the most frequent lengths come first
 
 
@@ -127,7 +128,9 @@ def tokenise(docs: DataFrame, path: str, folder: str) -> DataFrame:
                     [part.column("doc_id"), pa.array([len(i) // 2 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n", "ids"])
 
-    source.mapInArrow(tidied(run), schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    # Batches of about BATCH_BYTES: a worker holds one with its ids beside what it remembers.
+    with bounded_batches(docs.sparkSession, TEXT_BYTES, BATCH_BYTES):
+        source.mapInArrow(tidied(run), schema).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 
