@@ -2,11 +2,13 @@ import random
 import time
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from tidings.functions import unicode
-from tidings.operators import joins, piecetrie, wordpiece
+from tidings.operators import joins, piecetable, piecetrie, wordpiece
 from tidings.operators.numbering import running_count
 from tidings.sources import vocabulary
 
@@ -245,3 +247,54 @@ def test_lookup_join_paths_agree_on_a_hot_key(spark):
     assert inner.count() == small.filter("value is not null").count()
     with pytest.raises(ValueError):
         joins.lookup_join(facts, table, "key", "full")
+
+
+def test_table_equals_trying_every_length():
+    rng = random.Random(1)
+    for _ in range(500):
+        letters = "aé#了"[:rng.randrange(1, 5)]
+        tokens = {rng.choice(["", "##"]) + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(12))}
+        ids = {t: i + 5 for i, t in enumerate(sorted(tokens))}
+        speller = piecetable.Speller(piecetable.build(pa.array(list(ids), pa.string()), list(ids.values()), "##"), "##", 1)
+        words = ["".join(rng.choice("aé#了d") for _ in range(rng.randrange(15))) for _ in range(5)]
+        assert speller.pieces_of(words) == [greedy(word, ids, 1) for word in words], (tokens, words)
+
+
+def test_trie_and_table_agree_in_spark(spark, vocab, monkeypatch):
+    rows = [(i, " ".join(TEXTS[i:]) or None, f"x tag {i}") for i in range(len(TEXTS) + 1)] + [(99, None, None), (100, "", "y" * 300)]
+    df = spark.createDataFrame(rows, "id int, text string, other string").repartition(3)
+
+    def found():
+        pairs = [wordpiece.encode(df, vocab, ["id"], second="other", max_len=n).collect() for n in (None, 9)]
+        return [sorted(map(str, p)) for p in pairs] + [sorted(map(str, wordpiece.token_spans(df, vocab, ["id"]).collect()))]
+
+    trie = found()
+    monkeypatch.setattr(wordpiece, "TRIE_TOKENS", -1)
+    assert found() == trie
+
+
+def test_texts_meet_no_join_with_a_vocabulary_of_millions(texts, vocab, numbered):
+    many = vocab._replace(size=4_000_000)
+    encoded = wordpiece.encode(texts, many, ["id"])
+    assert "Join" not in plan_of(encoded) and "Exchange hashpartitioning" not in plan_of(encoded)
+    assert "Join" not in plan_of(wordpiece.token_spans(texts, many, ["id"]))
+    # Only whole lists move, and neither ids nor tokens by themselves.
+    assert "Join" not in plan_of(wordpiece.decode(encoded, numbered, ["id"]))
+
+
+def test_decode_ways_agree(spark, numbered, monkeypatch):
+    lists = [(1, [2, 4, 3, 9, 3, 0, 0]), (1, [2, 5, 3]), (None, [2, 4, 3]), (2, [2, None, 3]), (3, [2, 999, 3]), (4, []), (5, None), (6, [2, 3]), (7, [4, 5])]
+    encoded = spark.createDataFrame(lists, "id int, token_ids array<bigint>")
+    shipped = sorted(map(str, wordpiece.decode(encoded, numbered, ["id"]).collect()))
+    monkeypatch.setattr(wordpiece, "SHIPPED_TOKENS", -1)
+    assert sorted(map(str, wordpiece.decode(encoded, numbered, ["id"]).collect())) == shipped
+
+
+def test_head_of_a_text_gives_its_first_words(spark):
+    ends = ["", ".", "Σ.α b", "é" * 300, "x\x00y" * 90, " " * 400 + "z", "wort " * 200]
+    rows = [(f"{head}{end}",) for head in ("", "ΟΔΟΣ.α ", "a b c ", "한국어, ab " * 20, "a" * 1000 + " b") for end in ends]
+    words = unicode.pretokens(F.col("text"))
+    df = spark.createDataFrame(rows, "text string")
+    for most in (1, 3, 7):
+        found = df.select(wordpiece._head_words(F.col("text"), False, most).alias("head"), F.slice(words, 1, most).alias("whole")).collect()
+        assert [r.head for r in found] == [r.whole for r in found]
