@@ -93,3 +93,22 @@ def test_points_do_not_move_in_a_pass(spark):
         assert "Exchange" not in left, plan
     finally:
         layout.points.unpersist()
+
+
+def test_small_timeframes_take_no_passes(spark, monkeypatch):
+    """Timeframes of one part are fitted where they lie, beside one of several parts; results are those of passes."""
+    rows = [r for k in range(5) for r in blobs(f"t{k}", k, [10, 14])] + blobs("big", 9, [40, 30, 30])
+    df, passes, plain = spark.createDataFrame(rows, SCHEMA), [], frames._pass
+    monkeypatch.setattr(frames, "_pass", lambda layout, state, *a: passes.append({r.timeframe for r in state.collect()}) or plain(layout, state, *a))
+    got = {}
+    for part_bytes in (24 * 50, 24 * 5):  # 50 points a part: only the last has more; then 5
+        passes.clear()
+        monkeypatch.setattr(frames, "PART_BYTES", part_bytes)
+        layout = frames.lay_out(df, ["id"], 4, 3, part_bytes)
+        try:
+            centres, costs = frames.fit_block(layout, layout.frames, 1, 3, 2, 3, max_iter=3)
+            got[part_bytes] = sorted((r.timeframe, r.k, r.ref_id, round(r.w, 9)) for r in costs.collect()), sorted((r.timeframe, np.round(r.centres, 9).tolist()) for r in centres.collect())
+            assert set().union(*passes) == ({"big"} if part_bytes > 200 else {r[0] for r in rows})
+        finally:
+            layout.points.unpersist()
+    assert got[24 * 50] == got[24 * 5] and len(got[24 * 50][0]) == 6 * 3 * 3
